@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# One Python string literal in single or double quotes, with backslash escapes.
-QUOTED = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+# One Python string literal in single or double quotes, with backslash escapes. The loops are
+# possessive, which keeps Java from recursing once per repetition.
+QUOTED = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
 
 
 def parse_list(c: Column) -> Column:
     """A Python-style list of strings as text to an array; anything malformed gives an empty array."""
-    valid = c.rlike(rf"^\s*\[\s*((?:{QUOTED})\s*(,\s*(?:{QUOTED})\s*)*,?\s*)?\]\s*$")
+    skeleton = F.regexp_replace(c, QUOTED, "''")
+    valid = skeleton.rlike(r"^\s*\[\s*(?:''\s*(?:,\s*''\s*)*+,?\s*)?\]\s*$")
     items = F.regexp_extract_all(c, F.lit(f"({QUOTED})"), 1)
     bare = F.transform(items, lambda s: F.regexp_replace(s.substr(F.lit(2), F.length(s) - 2), r"\\(.)", "$1"))
     return F.coalesce(F.when(valid, bare), F.array().cast("array<string>"))
@@ -34,7 +36,7 @@ def run_lengths(items: Column) -> Column:
         size = F.size(s)
         positions = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
         starts = F.filter(positions, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(size))
+        ends = F.slice(F.concat(starts, F.array(size)), F.lit(2), F.size(starts))
         return F.zip_with(starts, ends, lambda a, b: F.struct(F.get(s, a).alias("item"), (b - a).alias("cnt")))
 
     return F.get(F.transform(F.array(F.sort_array(items)), runs), F.lit(0))

@@ -58,7 +58,7 @@ def term_threshold(rows: Column, n: Column) -> Column:
 def relevance(real: Column, dubious: Column, places: int | None = 4) -> Column:
     total = real + dubious
     score = F.abs(real - dubious) / total
-    return F.when(total > 0, score if places is None else F.round(score, places)).otherwise(F.lit(0.0))
+    return F.when(total > 0, score if places is None else round_half_even(score, places)).otherwise(F.lit(0.0))
 
 
 def share_percent(part: Column, whole: Column) -> Column:

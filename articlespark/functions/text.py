@@ -128,7 +128,7 @@ def plain_quotes(c: Column) -> Column:
 
 def contraction_tokens(c: Column, stopwords: Iterable[str]) -> Column:
     """Lower-case tokens that are wholly ASCII letters with at most one inner apostrophe."""
-    tokens = F.regexp_extract_all(F.lower(plain_quotes(c)), F.lit(f"([{WORD}]+(?:'[{WORD}]+)*)"), 1)
+    tokens = F.regexp_extract_all(F.lower(plain_quotes(c)), F.lit(f"([{WORD}]+(?:'[{WORD}]+)*+)"), 1)
     plain = F.filter(tokens, lambda w: w.rlike(r"^[a-z]+('[a-z]+)?$"))
     return drop_words(plain, stopwords)
 

@@ -41,6 +41,13 @@ def count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0)).cast("bigint")
 
 
+def dimension_counts(df: DataFrame, dims: Sequence[str], label: str = "label") -> DataFrame:
+    """(dim, value, label, count) for several dimensions in one pass; nulls do not count."""
+    pairs = F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).cast("string").alias("value")) for d in dims])
+    long = df.select(label, F.explode(pairs).alias("p")).select("p.dim", "p.value", label)
+    return count_by(long, ["dim", "value", label])
+
+
 def with_share(counts: DataFrame, dim: str, count: str = "count", name: str = "percentage") -> DataFrame:
     """Percentage of each row's count within its dimension value (input is already aggregated)."""
     whole = F.sum(count).over(Window.partitionBy(dim))
@@ -89,8 +96,8 @@ def nonzero_stats(count: Column, condition: Column, suffix: str, places: int = 4
     c = F.when(condition & (count > 0), count)
     return [
         F.coalesce(F.max(c), F.lit(0)).cast("bigint").alias(f"max_{suffix}"),
-        F.round(F.coalesce(F.avg(c), F.lit(0.0)), places).alias(f"mean_{suffix}"),
-        F.round(F.coalesce(F.stddev_pop(c), F.lit(0.0)), places).alias(f"stdev_{suffix}"),
+        ms.round_half_even(F.coalesce(F.avg(c), F.lit(0.0)), places).alias(f"mean_{suffix}"),
+        ms.round_half_even(F.coalesce(F.stddev_pop(c), F.lit(0.0)), places).alias(f"stdev_{suffix}"),
     ]
 
 

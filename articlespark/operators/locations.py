@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..runtime import small
+from ..runtime import materialize, small
 from ..sources.readers import require_columns, trim_headers
 from .aggregates import centroid
 from .joins import first_match
@@ -19,6 +19,8 @@ CITY_COLUMNS = ["city_ascii", "admin_name", "country", "iso2", "iso3", "lat", "l
 STATE_COLUMNS = ["Place Name", "State Capital", "Country", "Latitude", "Longitude"]
 REGION_COLUMNS = ["country", "sub_region", "continent", "code_2", "code_3"]
 COUNTRY_LEVEL = "Country level only"
+# More distinct first words of longer names than this are not inlined as literals.
+MAX_OPENERS = 2_000
 
 
 def gazetteer(cities: DataFrame, states: DataFrame, regions: DataFrame) -> DataFrame:
@@ -42,16 +44,23 @@ def find_places(df: DataFrame, id_col: str, text: str, names: DataFrame, name_co
     """
     tokens = F.regexp_extract_all(F.lower(text), F.lit(f"([{tx.WORD}]+)"), 1)
     name_tokens = F.regexp_extract_all(F.col(name_col), F.lit(f"([{tx.WORD}]+)"), 1)
-    entries = (names.select(F.lower(name_col).alias("location")).distinct()
+    entries = materialize(names.select(F.lower(name_col).alias("location")).distinct()
                .withColumn("_tokens", F.regexp_extract_all("location", F.lit(f"([{tx.WORD}]+)"), 1))
                .filter((F.size("_tokens") > 0) & (F.array_join("_tokens", " ") == F.col("location")))
-               .select("location", F.get("_tokens", F.lit(0)).alias("_first"), F.size("_tokens").alias("_len")))
+               .select("location", F.get("_tokens", F.lit(0)).alias("_first"), F.size("_tokens").alias("_len")), "names")
     longest = entries.agg(F.max("_len")).first()[0] or 1
+    # only tokens that start a longer name need the tokens after them
+    openers = [r[0] for r in entries.filter("_len > 1").select("_first").distinct().limit(MAX_OPENERS + 1).collect()]
+
+    def window(w: Column, i: Column) -> Column:
+        ahead = F.array_join(F.slice("_t", i + 1, longest), " ")
+        if len(openers) > MAX_OPENERS:
+            return ahead
+        return F.when(w.isin(openers), ahead).otherwise(w) if openers else w
 
     spots = (df.select(id_col, tokens.alias("_t"))
              .select(id_col, F.explode(F.transform("_t", lambda w, i: F.struct(
-                 i.alias("pos"), w.alias("first"),
-                 F.array_join(F.slice("_t", i + 1, longest), " ").alias("window")))).alias("s"))
+                 i.alias("pos"), w.alias("first"), window(w, i).alias("window")))).alias("s"))
              .select(id_col, "s.*"))
     starts = F.concat("window", F.lit(" ")).startswith(F.concat("location", F.lit(" ")))
     hits = (spots.join(small(entries), (F.col("first") == F.col("_first")) & starts)
@@ -131,54 +140,44 @@ def enrich_places(places: DataFrame, city: DataFrame, state: DataFrame, region:
     row per key and its centroids are computed once, so the places are only probed against
     broadcast tables.
     """
-    def result(alias: str, **cols):
-        names = ["city", "state", "country", "subcontinent", "continent", "latitude", "longitude", "iso2", "iso3"]
-        kinds = {"latitude": "double", "longitude": "double"}
-        return F.struct(*[(cols[n] if n in cols else F.lit(None)).cast(kinds.get(n, "string")).alias(n)
-                          for n in names]).alias(alias)
-
     c = F.col
-    region_cols = region_by_country(region, order).select(
+    names = ["city", "state", "country", "subcontinent", "continent", "latitude", "longitude", "iso2", "iso3"]
+    kinds = {"latitude": "double", "longitude": "double"}
+
+    def hit(priority: int, **cols) -> list[Column]:
+        return [F.lit(priority).alias("priority"), F.struct(*[
+            (cols[n] if n in cols else F.lit(None)).cast(kinds.get(n, "string")).alias(n) for n in names]).alias("hit")]
+
+    by_name = region_by_country(region, order).select(
         c("country").alias("r_country"), c("subcontinent").alias("r_sub"), c("continent").alias("r_cont"),
         c("iso2").alias("r_iso2"), c("iso3").alias("r_iso3"))
 
-    cities = first_match(city, "city", order)
-    by_city = (cities.join(small(region_cols), c("country") == c("r_country"), "left")
-               .select(c("city").alias("k"), result(
-                   "hit_city", city=c("city"), state=c("state"), country=c("country"),
-                   subcontinent=c("r_sub"), continent=c("r_cont"), latitude=c("latitude"),
-                   longitude=c("longitude"), iso2=F.coalesce("r_iso2", "iso2"),
-                   iso3=F.coalesce("r_iso3", "iso3"))))
+    def middle(key: str) -> DataFrame:
+        return centroid(city, key).select(c(key).alias("m_key"), c("latitude").alias("m_lat"), c("longitude").alias("m_lng"))
 
+    tables = [first_match(city, "city", order).join(by_name, c("country") == c("r_country"), "left").select(
+        c("city").alias("k"), *hit(
+            1, city=c("city"), state=c("state"), country=c("country"), subcontinent=c("r_sub"), continent=c("r_cont"),
+            latitude=c("latitude"), longitude=c("longitude"), iso2=F.coalesce("r_iso2", "iso2"),
+            iso3=F.coalesce("r_iso3", "iso3")))]
     # a row is found by its state or by its capital; the earlier row wins
     either = state.select(F.explode(F.array_distinct(F.array("state", "capital"))).alias("k"),
                           "state", "capital", "country", order)
-    states = first_match(either, "k", order)
-    state_mid = centroid(city, "state").select(
-        c("state").alias("m_state"), c("latitude").alias("m_lat"), c("longitude").alias("m_lng"))
-    by_state = (states.join(small(region_cols), c("country") == c("r_country"), "left")
-                .join(small(state_mid), c("state") == c("m_state"), "left")
-                .select("k", result(
-                    "hit_state", city=c("capital"), state=c("state"), country=c("country"),
-                    subcontinent=c("r_sub"), continent=c("r_cont"), latitude=c("m_lat"),
-                    longitude=c("m_lng"), iso2=c("r_iso2"), iso3=c("r_iso3"))))
-
-    def by_region(key: str) -> DataFrame:
-        mid = centroid(city, key).select(
-            c(key).alias("m_key"), c("latitude").alias("m_lat"), c("longitude").alias("m_lng"))
-        rows = first_match(region.withColumn("k", c(key)), "k", order)
-        return (rows.join(small(mid), c(key) == c("m_key"), "left")
-                .select("k", result(
-                    f"hit_{key}", city=F.lit(COUNTRY_LEVEL), country=c("country"),
-                    subcontinent=c("subcontinent"), continent=c("continent"), latitude=c("m_lat"),
-                    longitude=c("m_lng"), iso2=c("iso2"), iso3=c("iso3"))))
-
-    out = places.withColumn("location", F.lower("location")).withColumn("k", c("location"))
-    tables = [by_city, by_state, by_region("country"), by_region("iso2"), by_region("iso3")]
-    for table in tables:
-        out = out.join(small(table), "k", "left")
-    best = F.coalesce("hit_city", "hit_state", "hit_country", "hit_iso2", "hit_iso3")
-    return out.select(*[n for n in places.columns], best.alias("_best")).select(*places.columns, "_best.*")
+    tables.append(
+        first_match(either, "k", order).join(by_name, c("country") == c("r_country"), "left")
+        .join(middle("state"), c("state") == c("m_key"), "left").select("k", *hit(
+            2, city=c("capital"), state=c("state"), country=c("country"), subcontinent=c("r_sub"), continent=c("r_cont"),
+            latitude=c("m_lat"), longitude=c("m_lng"), iso2=c("r_iso2"), iso3=c("r_iso3"))))
+    for priority, key in ((3, "country"), (4, "iso2"), (5, "iso3")):
+        tables.append(
+            first_match(region.withColumn("k", c(key)), "k", order).join(middle(key), c(key) == c("m_key"), "left")
+            .select("k", *hit(
+                priority, city=F.lit(COUNTRY_LEVEL), country=c("country"), subcontinent=c("subcontinent"),
+                continent=c("continent"), latitude=c("m_lat"), longitude=c("m_lng"), iso2=c("iso2"), iso3=c("iso3"))))
+
+    best = (reduce(DataFrame.unionByName, tables).groupBy("k").agg(F.min_by("hit", "priority").alias("_best")))
+    keyed = places.withColumn("location", F.lower("location")).withColumn("k", c("location"))
+    return keyed.join(small(best), "k", "left").select(*places.columns, "_best.*")
 
 
 def missing_places(places: DataFrame) -> DataFrame:

@@ -166,5 +166,7 @@ def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: S
     scored = saved_stage("scored", "useprelocationdata", lambda: apply_sentiment(nlp, inputs.lexicon))
     located = saved_stage("located", "useprelocationenricheddata", lambda: locate(
         scored, inputs.cities, inputs.states, inputs.regions))
-    places = place_tables(located, inputs.cities, inputs.states, inputs.regions)
-    return finalize(located), places
+    tables = place_tables(located, inputs.cities, inputs.states, inputs.regions)
+    mentions = stage(spark, f"{folder}/article_locations", lambda: tables.mentions)
+    unique = stage(spark, f"{folder}/unique_locations", lambda: tables.unique)
+    return finalize(located), Places(mentions, tables.counts, unique)
