@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,13 +42,23 @@ def run_lengths(items: Column) -> Column:
     return F.get(F.transform(F.array(F.sort_array(items)), runs), F.lit(0))
 
 
-def phrases(tokens: Column, n: int) -> Column:
-    """All runs of ``n`` neighbouring tokens joined by spaces; empty if there are fewer tokens."""
+def phrases(tokens: Column, n: int, weak: Iterable[str] = ()) -> Column:
+    """All runs of ``n`` neighbouring tokens joined by spaces, leaving out those made of ``weak``
+    words only; empty if there are fewer tokens."""
+    weak = list(weak)
+
+    def strong(w: Column) -> Column:
+        return ~w.isin(weak)
+
     if n == 1:
-        return tokens
-    out = tokens
+        return F.filter(tokens, strong) if weak else tokens
+    # one flag per token, so that no phrase has to be taken apart again
+    flagged = F.transform(tokens, lambda w: F.struct(w.alias("p"), (strong(w) if weak else F.lit(True)).alias("s")))
+    out = flagged
     for shift in range(1, n):
-        later = F.slice(tokens, shift + 1, F.greatest(F.size(tokens) - shift, F.lit(0)))
-        out = F.zip_with(out, later, lambda a, b: F.concat(a, F.lit(" "), b))
+        later = F.slice(flagged, shift + 1, F.greatest(F.size(tokens) - shift, F.lit(0)))
+        out = F.zip_with(out, later, lambda a, b: F.struct(
+            F.concat(a["p"], F.lit(" "), b["p"]).alias("p"), (a["s"] | b["s"]).alias("s")))
     # positions past the end were paired with null, which makes the phrase null
-    return F.filter(out, lambda p: p.isNotNull())
+    kept = F.filter(out, lambda x: x["s"] & x["p"].isNotNull())
+    return F.transform(kept, lambda x: x["p"])

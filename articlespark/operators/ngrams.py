@@ -27,14 +27,6 @@ def unigram_tokens(text: Column, stopwords: Sequence[str]) -> Column:
     return tx.word_tokens(cleaned)
 
 
-def not_all_stopwords(phrase: Column, stopwords: Sequence[str]) -> Column:
-    """True unless every word of the phrase is a stopword."""
-    stop = list(stopwords)
-    if not stop:
-        return F.lit(True)
-    return F.exists(F.split(phrase, " "), lambda w: ~w.isin(stop))
-
-
 def article_terms(df: DataFrame, keep: Sequence[str], terms: Mapping[int, Column]) -> DataFrame:
     """One row per article, n-gram size and distinct term with its count in that article.
 
@@ -55,9 +47,7 @@ def ngram_terms(df: DataFrame, keep: Sequence[str], text: str, sizes: Sequence[i
     # tokens first, in a projection of their own, so that they are computed once per row
     base = df.select(*keep, tx.word_tokens(F.col(text)).alias("_tokens"),
                      unigram_tokens(F.col(text), stopwords).alias("_clean"))
-    terms = {n: F.col("_clean") if n == 1 else
-             F.filter(ls.phrases(F.col("_tokens"), n), lambda p: not_all_stopwords(p, stopwords))
-             for n in sizes}
+    terms = {n: F.col("_clean") if n == 1 else ls.phrases(F.col("_tokens"), n, stopwords) for n in sizes}
     return article_terms(base, keep, terms)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import text as tx
+from ..runtime import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,8 +48,12 @@ def register(key: str, sql: str | None = None):
     return add
 
 
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
 
 
 def articles(spark: SparkSession, d: str) -> DataFrame:

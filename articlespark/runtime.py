@@ -50,3 +50,10 @@ def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores where the input has too few splits for them, as with one small file of
+    long texts. A table with at least a split per core is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

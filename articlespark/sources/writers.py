@@ -32,9 +32,9 @@ def save_by_year(df: DataFrame, path: str, year: str = "year", files_per_year: i
 
 
 def save_text(fragments: DataFrame, path: str, by: list[str], fragment: str = "fragment") -> None:
-    """Fragments as text files, one directory per combination of ``by``."""
+    """Fragments as text files joined by spaces, one directory per combination of ``by``."""
     (fragments.select(*by, F.col(fragment).alias("value")).write.mode("overwrite")
-     .partitionBy(*by).option("lineSep", "").text(path))
+     .partitionBy(*by).option("lineSep", " ").text(path))
 
 
 def save_metrics(metrics: DataFrame, path: str, fmt: str = "json") -> None:
