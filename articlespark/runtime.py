@@ -12,18 +12,22 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_CHARS = 64_000_000
 
 
+_local_folder: list[str] = []
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.
+    """A fresh path below the session's ``spark.checkpoint.dir``.
 
-    The folder is set here only on a local master; on a cluster a machine-local folder would be
-    invisible to the other executors, so the setting has to be there.
+    Where that is unset, a local master gets a temporary folder of its own; on a cluster a
+    machine-local folder would be invisible to the other executors, so the setting has to be there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="articlespark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local_folder:
+            _local_folder.append(tempfile.mkdtemp(prefix="articlespark-"))
+        base = _local_folder[0]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

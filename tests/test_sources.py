@@ -63,19 +63,29 @@ def test_flags_close_over_earlier_stages():
     assert stages.resolve_flags({}) == {}
 
 
-def test_shared_folder_comes_from_the_session(spark, tmp_path):
+class Conf:
+    """Stands for a session with or without the folder setting."""
+
+    def __init__(self, folder, master):
+        self.folder, self.master = folder, master
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default=None):
+        return self.folder if key == "spark.checkpoint.dir" and self.folder else default
+
+
+def test_shared_folder_comes_from_the_session(tmp_path):
+    from articlespark import runtime
+    assert runtime.shared_path(Conf(str(tmp_path), "yarn"), "x").startswith(f"{tmp_path}/x-")
+    assert runtime.shared_path(Conf(None, "local[2]"), "x") != runtime.shared_path(Conf(None, "local[2]"), "x")
+    with pytest.raises(ValueError):
+        runtime.shared_path(Conf(None, "yarn"), "x")
+
+
+def test_materialize(spark):
     from articlespark import runtime
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert runtime.shared_path(spark, "x").startswith(str(tmp_path))
-        out = runtime.materialize(spark.range(4).withColumn("v", F.lit("a")), "t")
-        assert out.count() == 4
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+    out = runtime.materialize(spark.range(4).withColumn("v", F.lit("a")), "t")
+    assert out.count() == 4 and out.columns == ["id", "v"]
 
 
 def test_unknown_model_kind(spark):
