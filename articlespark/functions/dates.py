@@ -18,6 +18,7 @@ MONTHS = {
 # Stand-in for a missing raw date, last-resort date, and the digit-word formats.
 MISSING_DATE = "1901-02-01 00:00:00"
 LAST_RESORT = "2000-02-01"
+TIMESTAMP_DAYS = ("1677-09-22", "2262-04-11")
 DIGIT_FORMATS = [
     "yyyy-M-d", "d-M-yyyy", "M-d-yyyy", "yyyy/M/d", "d/M/yyyy", "M/d/yyyy",
     "yyyy.M.d", "d.M.yyyy", "M.d.yyyy", "yyyy M d", "d M yyyy", "M d yyyy",
@@ -47,13 +48,18 @@ def parse_date(raw: Column, default_year: int) -> Column:
     year = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
     fits = year.rlike(r"^\d{4}$") & day.rlike(r"^\d{1,2}$")
     day_text = F.when(fits, F.concat(year, F.lit("-"), number, F.lit("-"), day))
-    return F.try_to_timestamp(day_text, F.lit("yyyy-M-d")).cast("date")
+    return in_range(F.try_to_timestamp(day_text, F.lit("yyyy-M-d")).cast("date"))
+
+
+def in_range(d: Column) -> Column:
+    """Null outside the days a nanosecond timestamp can hold."""
+    return F.when(d.between(*[F.to_date(F.lit(x)) for x in TIMESTAMP_DAYS]), d)
 
 
 def iso_date_in(text: Column) -> Column:
     """First ``yyyy-mm-dd`` in the text that is a real date."""
     found = F.nullif(F.regexp_extract(text, ISO_DATE, 1), F.lit(""))
-    return F.try_to_timestamp(found, F.lit("yyyy-MM-dd")).cast("date")
+    return in_range(F.try_to_timestamp(found, F.lit("yyyy-MM-dd")).cast("date"))
 
 
 def digit_words_date(text: Column) -> Column:

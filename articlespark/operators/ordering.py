@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..runtime import materialize, shuffle_width, small
 
 
-def running_total(df: DataFrame, order: Sequence[str], weight: Column | None = None,
-                  name: str = "before") -> DataFrame:
+def running_total(df: DataFrame, order: Sequence[str], weight: Column, name: str = "before") -> DataFrame:
     """Add the summed weight of all rows that come strictly earlier in the order.
 
     Rows are range-partitioned, each range gets the total of the ranges before it, and only the
@@ -19,17 +18,13 @@ def running_total(df: DataFrame, order: Sequence[str], weight: Column | None = N
     sampled and could come out differently when a lost task is run again. ``order`` has to be
     unique so that ranges stay even.
     """
-    weight = F.lit(1).cast("bigint") if weight is None else weight
     ranges = shuffle_width(df.sparkSession)
     placed = materialize(
         df.repartitionByRange(ranges, *order)
           .withColumn("_range", F.spark_partition_id())
           .withColumn("_weight", weight),
         "ranges")
-    # one row per range
-    totals = placed.groupBy("_range").agg(F.sum("_weight").alias("_total"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = _offsets(placed.groupBy("_range").agg(F.sum("_weight").alias("_total")))
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (placed.join(F.broadcast(offsets), "_range")
             .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
@@ -37,8 +32,29 @@ def running_total(df: DataFrame, order: Sequence[str], weight: Column | None = N
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str = "article_id") -> DataFrame:
-    """Consecutive ids from 0 in the given unique order."""
-    return running_total(df, order, name=name)
+    """Consecutive ids from 0 in the given unique order.
+
+    Rows are sorted within ranges and numbered as they are written, so the full rows are shuffled
+    once; afterwards each range only has to be shifted by the rows before it.
+    """
+    ranges = shuffle_width(df.sparkSession)
+    placed = materialize(
+        df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+          .withColumn("_spot", F.monotonically_increasing_id()),
+        "ids")
+    # the generated number holds the partition above bit 33 and the row's place below
+    placed = placed.withColumns({"_range": F.shiftright("_spot", 33),
+                                 "_place": F.col("_spot").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_total"))
+    return (placed.join(F.broadcast(_offsets(sizes)), "_range")
+            .withColumn(name, F.col("_offset") + F.col("_place"))
+            .drop("_range", "_spot", "_place", "_offset"))
+
+
+def _offsets(totals: DataFrame) -> DataFrame:
+    """(_range, _offset) from the total per range; there are only as many rows as shuffle partitions."""
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -31,12 +31,15 @@ def unique_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct non-null values per column.
 
     The exact form counts each column's values separately: (column, value) pairs are reduced per
-    task, then per pair, and only pair counts are summed up."""
+    task, then per pair, and only pair counts are summed up. Long values travel as digests."""
     if approximate:
         row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns])
         return _long(row, df.columns, "uniques")
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                      for c in df.columns])
+    def brief(c: str) -> Column:
+        v = F.col(c).cast("string")
+        return F.when(F.length(v) > 64, F.sha2(v, 256)).otherwise(v)
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), brief(c).alias("value")) for c in df.columns])
     values = df.select(F.explode(pairs).alias("p")).select("p.*").distinct()
     return values.groupBy("column").agg(F.count("value").alias("uniques"))
 

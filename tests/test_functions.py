@@ -19,7 +19,7 @@ def one(spark, value, fn, kind="string"):
 @pytest.mark.parametrize("raw, want", [
     ("December 31, 2017", "2017-12-31"), ("Dec 5, 16", "2016-12-05"), ("May 3", "2021-05-03"),
     (None, None), ("31-Dec-17", None), ("2017-02-01", None), ("Feb 2017", None),
-    ("February 30, 2017", None), ("Smarch 3, 2017", None), ("Jan 031, 2017", None), ("Jan 1, 20175", None)])
+    ("February 30, 2017", None), ("Smarch 3, 2017", None), ("Jan 031, 2017", None), ("Jan 1, 20175", None), ("Jan 1, 1500", None)])
 def test_parse_date(spark, raw, want):
     got = one(spark, raw, lambda c: dt.parse_date(c, 2021))
     assert got == (dtm.date.fromisoformat(want) if want else None)
