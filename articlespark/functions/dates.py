@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .lists import let
 from .text import SPACE, WORD, strip, strip_punct, words
 
 # Month names and their numbers.
@@ -41,19 +42,27 @@ def raw_date_parts(raw: Column) -> tuple[Column, Column, Column]:
 def parse_date(raw: Column, default_year: int) -> Column:
     """``Month d[, y]`` to a date; two-digit years are 20yy, a missing year is ``default_year``,
     anything else is null."""
-    month, day, year = raw_date_parts(raw)
     table = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
-    number = F.try_element_at(table, F.lower(month))
-    year = F.coalesce(year, F.lit(str(default_year)))
-    year = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
-    fits = year.rlike(r"^\d{4}$") & day.rlike(r"^\d{1,2}$")
-    day_text = F.when(fits, F.concat(year, F.lit("-"), number, F.lit("-"), day))
-    return in_range(F.try_to_timestamp(day_text, F.lit("yyyy-M-d")).cast("date"))
+
+    def build(p: Column) -> Column:
+        number = F.try_element_at(table, F.lower(p["month"]))
+        year = F.when(F.length(p["year"]) == 2, F.concat(F.lit("20"), p["year"])).otherwise(p["year"])
+        fits = (F.length(year) == 4) & (F.length(p["day"]) <= 2)
+        day_text = F.when(fits, F.concat(year, F.lit("-"), number, F.lit("-"), p["day"]))
+        return F.try_to_timestamp(day_text, F.lit("yyyy-M-d")).cast("date")
+
+    def parts(text: Column) -> Column:
+        found = [F.nullif(F.regexp_extract(text, MONTH_DAY_YEAR, i), F.lit("")) for i in (1, 2, 3)]
+        return F.struct(found[0].alias("month"), found[1].alias("day"),
+                        F.coalesce(found[2], F.lit(str(default_year))).alias("year"))
+
+    return in_range(let(let(raw_date_text(raw), parts), build))
 
 
 def in_range(d: Column) -> Column:
     """Null outside the days a nanosecond timestamp can hold."""
-    return F.when(d.between(*[F.to_date(F.lit(x)) for x in TIMESTAMP_DAYS]), d)
+    first, last = (F.to_date(F.lit(x)) for x in TIMESTAMP_DAYS)
+    return let(d, lambda x: F.when(x.between(first, last), x))
 
 
 def iso_date_in(text: Column) -> Column:

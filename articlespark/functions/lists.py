@@ -21,6 +21,11 @@ def parse_list(c: Column) -> Column:
     return F.coalesce(F.when(valid, bare), F.array().cast("array<string>"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def map_items(items: Column, fn: Callable[[Column], Column]) -> Column:
     return F.transform(items, fn)
 
@@ -29,8 +34,7 @@ def run_lengths(items: Column) -> Column:
     """Distinct entries of an array with their number of occurrences, within the row.
 
     Sorting makes equal entries adjacent, so one pass over the positions finds where each run
-    starts; no row leaves its partition. ``transform`` over a one-element array binds the sorted
-    array once.
+    starts; no row leaves its partition.
     """
     def runs(s: Column) -> Column:
         size = F.size(s)
@@ -39,7 +43,7 @@ def run_lengths(items: Column) -> Column:
         ends = F.slice(F.concat(starts, F.array(size)), F.lit(2), F.size(starts))
         return F.zip_with(starts, ends, lambda a, b: F.struct(F.get(s, a).alias("item"), (b - a).alias("cnt")))
 
-    return F.get(F.transform(F.array(F.sort_array(items)), runs), F.lit(0))
+    return let(F.sort_array(items), runs)
 
 
 def phrases(tokens: Column, n: int, weak: Iterable[str] = ()) -> Column:
