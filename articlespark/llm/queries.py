@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import exact, mixing, urls
+from . import exact, mixing, packing, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,18 @@ def op1_mix(spark, sf_dir):
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_pack")
+def op2_pack(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "source")
+
+
 @query("op7_exact_dedup", r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha FROM documents),
 g AS (SELECT sha, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY sha)
