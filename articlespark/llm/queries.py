@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import exact, mixing, packing, urls
+from . import chat, exact, licenses, mixing, packing, quality, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,30 @@ def op2_pack(spark, sf_dir):
                          "offset", "source")
 
 
+@query("op3_perspectives", r"""
+WITH t AS (SELECT conv_id, turn, CASE WHEN n = '' THEN 'unknown' ELSE n END AS speaker, body FROM (
+    SELECT conv_id, turn, regexp_replace(trim(coalesce(role, '')), '[^\p{L}\p{N}_.-]', '_', 'g') AS n,
+           replace(coalesce(text, ''), '<|', '<' || chr(8203) || '|') AS body FROM conversations)),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+r AS (SELECT t.*, perspective, CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS role,
+             CASE WHEN speaker <> perspective AND speaker <> 'system' THEN speaker END AS name
+      FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+h AS (SELECT *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) AS head FROM r),
+l AS (SELECT *, length(head) + length(body) + 11 AS n FROM h),
+s AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, body
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l)
+SELECT conv_id, perspective, turn, role, name, head || body || '<|im_end|>' || chr(10) AS segment, start, n::BIGINT AS length,
+       CASE WHEN role = 'assistant' THEN (start + length(head))::BIGINT END AS mask_start,
+       (CASE WHEN role = 'assistant' THEN length(body) + 10 ELSE 0 END)::BIGINT AS mask_length FROM s""")
+def op3_perspectives(spark, sf_dir):
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_exact_dedup", r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha FROM documents),
 g AS (SELECT sha, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY sha)
@@ -80,3 +104,8 @@ def op7_exact_dedup(spark, sf_dir):
 @query("op9_url_filter")
 def op9_url_filter(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op10_licenses")
+def op10_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
