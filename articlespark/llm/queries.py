@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import chat, exact, licenses, mixing, packing, quality, urls
+from . import chat, exact, jaccard, licenses, mixing, packing, quality, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,22 @@ def op7_exact_dedup(spark, sf_dir):
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op8_jaccard", r"""
+WITH RECURSIVE w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) >= 3 THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+t AS (SELECT r, len(s) AS n, unnest(s) AS t FROM s),
+p AS (SELECT a.r AS x, b.r AS y FROM t a JOIN t b ON a.t = b.t AND a.r < b.r AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 90
+      GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+c(r, m) AS (SELECT r, r FROM s UNION SELECT e.y, c.m FROM c JOIN e ON c.r = e.x WHERE c.m < e.y),
+m AS (SELECT r, min(m) AS m FROM c GROUP BY r)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(s.doc_id) OVER (PARTITION BY m.m) AS component_id FROM s JOIN m USING (r)""")
+def op8_jaccard(spark, sf_dir):
+    return jaccard.link_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 @query("op9_url_filter")
 def op9_url_filter(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"))
