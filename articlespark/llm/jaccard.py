@@ -17,6 +17,8 @@ COUNTERS = 1 << 18
 COUNTER_BLOCK = 1 << 12
 # Sets whose list entries a task remembers having written, so that copies are not written again.
 REMEMBERED = 1 << 20
+# Parts of the hash range by which a set's shingles are counted; two sets share at most the sum of the smaller counts.
+PARTS = 64
 # Entries of a list that are compared together.
 BLOCK = 1024
 ENTRY = "token long, size int, place int, head boolean, c1 long, c2 long"
@@ -47,24 +49,26 @@ def set_names(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def describe(docs: DataFrame, words: int) -> DataFrame:
-    """(id, size, c1, c2) of every document, and in rows without ``size`` the task's counters (block, counts)."""
+    """(id, size, c1, c2, parts) of every document, and in rows without ``size`` the task's counters (block, counts)."""
     def tasks(batches):
         counters = np.zeros(COUNTERS, np.int32)
         for batch in batches:
-            for first, hashes, _, sizes in shingle_sets(batch.column(1), words):
+            for first, hashes, owners, sizes in shingle_sets(batch.column(1), words):
                 counters += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS).astype(np.int32)
                 n, (c1, c2) = len(sizes), set_names(hashes, sizes)
+                parts = np.bincount(owners * PARTS + (hashes >> np.uint64(58)).astype(np.int64), minlength=n * PARTS)
+                parts = pa.ListArray.from_arrays(np.arange(0, n * PARTS + 1, PARTS, dtype=np.int32), parts.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(sizes, pa.int64()), pa.array(c1), pa.array(c2),
+                    [batch.column(0).slice(first, n), pa.array(sizes, pa.int64()), pa.array(c1), pa.array(c2), parts,
                      pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         blocks = counters.reshape(-1, COUNTER_BLOCK)
         n = len(blocks)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64())] * 4 + [pa.array(np.arange(n), pa.int32()),
+            [pa.nulls(n, pa.int64())] * 4 + [pa.nulls(n, pa.list_(pa.int32())), pa.array(np.arange(n), pa.int32()),
                                              pa.array([b.tobytes() for b in blocks], pa.binary())], names)
 
-    names = ["id", "size", "c1", "c2", "block", "counts"]
-    return docs.mapInArrow(tasks, "id long, size long, c1 long, c2 long, block int, counts binary")
+    names = ["id", "size", "c1", "c2", "parts", "block", "counts"]
+    return docs.mapInArrow(tasks, "id long, size long, c1 long, c2 long, parts array<int>, block int, counts binary")
 
 
 def counters_of(described: DataFrame) -> np.ndarray:
@@ -118,18 +122,24 @@ def entries(docs: DataFrame, words: int, percent: int, counters: np.ndarray) ->
     return docs.mapInArrow(tasks, ENTRY)
 
 
-def shared_lists(listed: DataFrame, percent: int) -> DataFrame:
-    """The lists with more than one set. Each entry has its ``pivot``: the first set of its list among those in the
-    same size band, whose sizes allow a link."""
-    band = F.floor(F.log("size") / -np.log(percent / 100) + 1e-9).cast("int")
-    ordered = Window.partitionBy("token", "band").orderBy("size", "c1", "c2")
+def shared_lists(listed: DataFrame) -> DataFrame:
+    """The lists with more than one set, every set once."""
+    ordered = Window.partitionBy("token").orderBy("c1", "c2")
     whole = Window.partitionBy("token")
-    first = F.first(F.struct("size", "place", "head", "c1", "c2")).over(ordered)
-    return (listed.withColumn("band", band)
-            .withColumns({"pivot": first, "_c1": F.lag("c1").over(ordered), "_c2": F.lag("c2").over(ordered)})
+    return (listed.withColumns({"_c1": F.lag("c1").over(ordered), "_c2": F.lag("c2").over(ordered)})
             .where("_c1 IS NULL OR _c1 != c1 OR _c2 != c2").drop("_c1", "_c2")
             .withColumns({"_low": F.min("c1").over(whole), "_high": F.max("c1").over(whole)})
-            .where("_low != _high").drop("_low", "_high", "band"))
+            .where("_low != _high").drop("_low", "_high"))
+
+
+def with_pivots(lists: DataFrame, percent: int) -> DataFrame:
+    """Add to each entry its ``pivot``: of the sets of its list in the same size band, whose sizes allow a link, the one
+    that stands in most lists. A text that others vary shares its shingles with them, a variant has its own too."""
+    band = F.floor(F.log("size") / -np.log(percent / 100) + 1e-9).cast("int")
+    weights = lists.groupBy("c1", "c2").agg(F.count("*").alias("weight"))
+    ordered = Window.partitionBy("token", "band").orderBy(F.desc("weight"), "c1", "c2")
+    first = F.first(F.struct("size", "place", "head", "c1", "c2")).over(ordered)
+    return lists.join(weights, ["c1", "c2"]).withColumn("band", band).withColumn("pivot", first).drop("weight", "band")
 
 
 def may_link(a: str, b: str, percent: int):
@@ -174,7 +184,7 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 def mixed_lists(lists: DataFrame, classes: DataFrame, groups: DataFrame, known: DataFrame) -> DataFrame:
     """Entries of lists whose sets are not all in one group yet, with their group and distance to the pivot."""
-    nodes = classes.select("node", "c1", "c2")
+    nodes = classes.select("node", "c1", "c2", "parts")
     pivots = classes.select(F.col("node").alias("pivot_node"), F.col("c1").alias("p1"), F.col("c2").alias("p2"))
     entry = lists.select("token", "size", "place", "head", "c1", "c2", F.col("pivot.c1").alias("p1"), F.col("pivot.c2").alias("p2"))
     entry = (entry.join(nodes, ["c1", "c2"]).join(groups, "node", "left")
@@ -194,8 +204,8 @@ def open_pairs(entries_: DataFrame, percent: int) -> DataFrame:
 
     Blocks are runs of a list in the order of size. A pair of blocks is skipped if their sizes are too far apart, if even
     their earliest places leave too little to share, or if all their sets are in one group. Inside, a pair is skipped if
-    it is in one group, if sizes or places rule it out, or if the distances to a common pivot differ by more than a
-    link allows.
+    it is in one group, if sizes or places rule it out, if the distances to a common pivot differ by more than a link
+    allows, or if the counts of shingles by part of the hash range leave too little to share.
     """
     spot = F.row_number().over(Window.partitionBy("token").orderBy("size", "node"))
     cut = entries_.withColumn("block", F.floor((spot - 1) / BLOCK).cast("int"))
@@ -214,8 +224,10 @@ def open_pairs(entries_: DataFrame, percent: int) -> DataFrame:
     once = (F.col("l.one") < F.col("l.other")) | (F.col("l.node") < F.col("r.node"))
     near = F.coalesce((F.col("l.pivot_node") != F.col("r.pivot_node"))
                       | (F.abs(F.col("l.apart") - F.col("r.apart")) <= 1 - percent / 100 + 1e-9), F.lit(True))
-    pairs = left.join(right, key[0] & key[1] & key[2] & once & (F.col("l.component") != F.col("r.component")) & near
-                      & may_link("l", "r", percent))
+    most = F.aggregate(F.zip_with("l.parts", "r.parts", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    enough = most * (100 + percent) >= (F.col("l.size") + F.col("r.size")) * percent
+    pairs = left.join(right, key[0] & key[1] & key[2] & once & (F.col("l.component") != F.col("r.component"))
+                      & may_link("l", "r", percent) & near & enough)
     return pairs.select(F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y")).distinct()
 
 
@@ -235,9 +247,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     described = materialize(describe(texts, words), "sets")
     rows = described.where("size IS NOT NULL").select("id", "size", "c1", "c2")
-    classes = materialize(rows.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"))
+    classes = materialize(described.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("parts").alias("parts"))
                           .withColumn("node", F.monotonically_increasing_id()), "classes")
-    lists = materialize(shared_lists(entries(texts, words, percent, counters_of(described)), percent), "lists")
+    lists = materialize(shared_lists(entries(texts, words, percent, counters_of(described))), "lists")
+    lists = materialize(with_pivots(lists, percent), "lists")
 
     def numbered(pairs: DataFrame) -> DataFrame:
         one = classes.select(F.col("node").alias("a"), "c1", "c2")
