@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import chat, exact, jaccard, licenses, mixing, packing, quality, urls
+from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, quality, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,21 @@ def op3_perspectives(spark, sf_dir):
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+@query("op5_near_vectors", """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+g AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND list_dot_product(e, e) > 0),
+l AS (SELECT a.r AS x, b.r AS y FROM g a JOIN g b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+      AND list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+c(r, m) AS (SELECT r, vec_id FROM v UNION SELECT l.y, c.m FROM c JOIN l ON c.r = l.x),
+m AS (SELECT r, min(m) AS component_id FROM c GROUP BY r),
+n AS (SELECT x AS r, count(*) AS n FROM l GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN m USING (r) LEFT JOIN n USING (r)""")
+def op5_near_vectors(spark, sf_dir):
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_quality")
 def op6_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
