@@ -18,7 +18,7 @@ NEIGHBOURS = 8
 # Orders by sign codes that start the graph, vectors next to each other in one that are compared, and vectors per code.
 ORDERS, NEXT, PER_CODE = 10, 8, 8
 # Refinement ends when a round adds less than this share of links, or after so many; attempts widen the start.
-LEAST_GAIN, ROUNDS, ATTEMPTS = 0.001, 6, 3
+LEAST_GAIN, ROUNDS, ATTEMPTS = 0.01, 6, 3
 # Vectors compared with all others to audit the recall, and the recall below which the start is widened.
 AUDITED, LEAST_RECALL = 256, 0.995
 # Vectors of a region that are compared together.

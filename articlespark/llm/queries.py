@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, quality, urls
+from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, quality, suffixes, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,11 @@ def op3_perspectives(spark, sf_dir):
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+@query("op4_repeated_passages")
+def op4_repeated_passages(spark, sf_dir):
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op5_near_vectors", """
 WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 g AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
