@@ -280,3 +280,15 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = rows.join(named, ["c1", "c2"], "left")
     return found.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
                         F.coalesce("component_id", "id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents with the smallest id of their group of linked ones, all columns kept; cases as in ``link_documents``.
+
+    Rows that share an id stay or go together, and go only if each of them is linked to a smaller id. Documents without
+    words link with nothing and stay.
+    """
+    found = link_documents(docs, id_col, text_col, words, percent)
+    gone = found.groupBy(F.col(id_col).alias("_gone")).agg(
+        F.every(~F.col(id_col).eqNullSafe(F.col("component_id"))).alias("_all")).where("_all").select("_gone")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")

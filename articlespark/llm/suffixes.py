@@ -158,9 +158,15 @@ def compare(rows: pa.RecordBatch, least: int, fresh: int) -> pa.RecordBatch | No
         return None
     back, on = common(left, a, b), common(right, a, b)
     good = back + PREFIX + on >= least
-    met, matched = np.unique(a), np.unique(a[good])
-    lost = np.setdiff1d(met, matched)
+    lost = np.setdiff1d(a, a[good])
     a, b, back, on = a[good], b[good], back[good], on[good]
+    # all matches of a suffix hold it, so together they are one span; its other text is that of the longest
+    order = np.lexsort((back + on, a))
+    a, b, back, on = a[order], b[order], back[order], on[order]
+    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.empty(0, int)
+    last = np.append(first[1:], len(a))[:len(first)] - 1
+    back, on = (np.maximum.reduceat(x, first) if len(first) else x for x in (back, on))
+    a, b = a[last], b[last]
     whose = np.concatenate([a, lost])
     start = np.concatenate([pos[a] - back, np.full(len(lost), -1)]).astype(np.int32)
     stop = np.concatenate([pos[a] + PREFIX + on, pos[lost]]).astype(np.int32)
@@ -170,7 +176,16 @@ def compare(rows: pa.RecordBatch, least: int, fresh: int) -> pa.RecordBatch | No
          pa.array(np.concatenate([c2[b], blank])), pa.array(key[whose])], ["c1", "c2", "start", "stop", "o1", "o2", "key"])
 
 
-def sorted_matches(suffixes: DataFrame, least: int) -> DataFrame:
+def all_matches(suffixes: DataFrame, least: int, first: str, then: str) -> DataFrame:
+    """MATCH rows of the suffixes in one sorted order, also across the borders of its ranges."""
+    order = ["key", first, then, "c1", "c2", "pos"]
+    compared = materialize(sorted_matches(suffixes, least, order), "compared")
+    columns = [c.split()[0] for c in MATCH.split(", ")]
+    return compared.where("NOT border").select(columns).union(
+        border_matches(compared.where("border"), least, order).select(columns))
+
+
+def sorted_matches(suffixes: DataFrame, least: int, order: list[str]) -> DataFrame:
     """Compare the neighbours of the sorted suffixes: MATCH rows, and rows of ``border`` with a suffix each.
 
     The sort is global, so that a frequent suffix is spread over tasks. The rows at both ends of each range are handed on,
@@ -201,7 +216,6 @@ def sorted_matches(suffixes: DataFrame, least: int) -> DataFrame:
              columns["key"], columns["right"], columns["left"], pa.array([True] * n)], names)
 
     names = [c.split()[0] for c in f"{MATCH}, {BORDER}".split(", ")]
-    order = ["key", "right", "left", "c1", "c2", "pos"]
     ranged = suffixes.repartitionByRange(shuffle_width(suffixes.sparkSession), *order).sortWithinPartitions(*order)
     return ranged.mapInArrow(tasks, f"{MATCH}, {BORDER}")
 
@@ -219,7 +233,7 @@ def ends(rows: pa.RecordBatch, head: bool) -> pa.RecordBatch:
     return rows.slice(start + (int(other[-1]) + 1 if len(other) else 0))
 
 
-def border_matches(border: DataFrame, least: int) -> DataFrame:
+def border_matches(border: DataFrame, least: int, order: list[str]) -> DataFrame:
     """Compare what the ranges handed on: a few rows for each of them, in one task."""
     def task(batches):
         rows = list(batches)
@@ -228,7 +242,6 @@ def border_matches(border: DataFrame, least: int) -> DataFrame:
             if found is not None:
                 yield found
 
-    order = ["key", "right", "left", "c1", "c2", "pos"]
     rows = border.select("key", "right", "left", "c1", "c2", F.col("start").alias("pos"))
     return rows.repartition(1).sortWithinPartitions(*order).mapInArrow(task, MATCH)
 
@@ -281,7 +294,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Equal texts are one text in the suffix array; all of it is a passage of each. Of every other text the suffixes at minimiser
     positions are kept. Those whose first words occur in two texts are sorted by the words after them, compared with the
-    neighbours in that order and extended right and left; suffixes are at most ``least`` words apart inside a match, so that
+    neighbours in that order and extended right and left (with many texts around, also in the order of the words before); suffixes are at most ``least`` words apart inside a match, so that
     the extensions of one reach those of the next and together give the whole passage. Where a suffix has more texts around
     than it was compared with, and no match, all windows that hold it are compared by hash. Passages that a document
     only shares with itself are not reported.
@@ -306,13 +319,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     chosen = texts.join(small(wanted), texts.id.eqNullSafe(F.col("_id"))).select("text", "places", "c1", "c2")
     suffixes = materialize(suffix_rows(chosen, least).distinct(), "suffixes")
 
-    compared = materialize(sorted_matches(suffixes, least), "matches")
-    columns = [c.split()[0] for c in MATCH.split(", ")]
-    matches = compared.where("NOT border").select(columns).union(
-        border_matches(compared.where("border"), least).select(columns))
-    matches = materialize(matches, "matches")
-    wide = suffixes.groupBy("key").agg(F.count_distinct("c1", "c2").alias("n")).where(F.col("n") > NEIGHBOURS + 1)
-    lost = matches.where("start < 0").select("key").distinct().join(wide, "key", "left_semi")
+    wide = suffixes.groupBy("key").agg(F.count_distinct("c1", "c2").alias("n")).where(F.col("n") > NEIGHBOURS + 1).select("key")
+    wide = materialize(wide, "wide")
+    many = suffixes.join(wide, "key", "left_semi")
+    matches = materialize(all_matches(suffixes, least, "right", "left").union(all_matches(many, least, "left", "right")), "matches")
+    found_for = matches.where("start >= 0").select("key", "c1", "c2").distinct()
+    lost = matches.where("start < 0").join(found_for, ["key", "c1", "c2"], "left_anti").select("key").distinct().join(wide, "key", "left_semi")
     windows = repeated_windows(suffixes.join(lost, "key", "left_semi"), least)
     ends_ = ["c1", "c2", "start", "stop", "o1", "o2"]
     spans = merged(matches.where("start >= 0").select(ends_).union(windows.select(ends_)))
