@@ -94,6 +94,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     if any(not t["m"] for t in listed):
         raise ValueError(f"a template needs {SHINGLE} words")
     keys = F.lit(sorted({v for t in listed for v in t["signature"]}))
+    # undoing a band's order gives the shingle that a window has to hold to agree in it
+    needed = F.lit(sorted({v ^ s for t in listed for v, s in zip(t["signature"], seeds(), strict=True)}))
 
     read = once(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "words", words_of(F.col("text"))).drop("text")
     read = once(read, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -103,7 +105,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     block = lambda i: F.slice("codes", i * BLOCK + 1, BLOCK)
     agreeing = F.filter(F.sequence(F.lit(0), count - 1), lambda i: F.arrays_overlap(
         F.array(*[smallest(block(i), s) for s in seeds()]), keys))
-    hits = read.where(F.size("codes") > 0).withColumn("block", F.explode(agreeing))
+    hits = read.where(F.arrays_overlap("codes", needed)).withColumn("block", F.explode(agreeing))
     hits = hits.withColumn("signature", F.array(*[smallest(block(F.col("block")), s) for s in seeds()]))
 
     # templates are joined on the band value, then windows over the block are checked as a whole
