@@ -29,9 +29,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 # A window is a run of blocks of this many shingles and moves on by one block.
 BLOCK = 4
-# One row per band. A window over a template of m shingles has at most 2 blocks more than it, so a match of 0.8 has
-# a Jaccard similarity of at least 0.8 m / (1.2 m + 8), 0.29 from m = 5 on; 20 bands miss it with a chance of 0.1 %.
-BANDS = 20
+# One row per band. Bands are read block by block: a template's smallest shingle under a band's order is also the smallest of
+# the block that holds it with a chance of at least 1/4, and a match of 0.8 holds it with a chance of 0.8, so that a
+# band agrees with at least 0.2 and 64 bands miss a match with a chance of less than 1 in a million.
+BANDS = 64
 
 
 def seeds() -> list[int]:
