@@ -129,7 +129,7 @@ def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
     sample = materialize(sample.coalesce(1), "quality-sample")
     seen = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(seen) < 2:
-        quality = Quality(None, 0.5 if not seen else float(np.clip(next(iter(seen)), 0.9, 0.9)), 0.0, 0.0, measured)
+        quality = Quality(None, 0.9 if seen else 0.5, 0.0, 0.0, measured)
     else:
         from pyspark.ml.functions import array_to_vector
         learner = LogisticRegression(featuresCol="_features", labelCol="label", rawPredictionCol="_raw", probabilityCol="_chance",

@@ -93,7 +93,7 @@ def op4_repeated_passages(spark, sf_dir):
 
 @query("op5_near_vectors", """
 WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
-g AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+g AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
       AND list_dot_product(e, e) > 0),
 l AS (SELECT a.r AS x, b.r AS y FROM g a JOIN g b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
       AND list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),

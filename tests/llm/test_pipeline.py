@@ -5,7 +5,6 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
-from test_mix_pack import check_pieces
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -92,4 +91,3 @@ def test_the_mix_is_packed_whole(stages):
     for p in pieces:
         fills[p.sequence_id] += p.length
     assert sorted(fills.values())[1:] == [4096] * (len(fills) - 1)
-    assert check_pieces
