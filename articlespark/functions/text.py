@@ -166,8 +166,7 @@ def source_parts_strict(source: Column) -> tuple[Column, Column]:
     place = F.regexp_extract(source, rf"^[A-Za-z{SPACE},/.&\-0-9]+", 0)
     name = F.regexp_extract(source, rf"^\([A-Za-z0-9/\-{SPACE}]+\)", 0)
     both = (place != "") & (name != "")
-    inner = F.substring(strip(name), 2, 1_000_000)
-    inner = F.regexp_replace(inner, r"\)$", "")
+    inner = F.regexp_replace(strip(name), r"^\(|\)$", "")
     empty = F.lit("")
     return F.when(both, strip(place)).otherwise(empty), F.when(both, inner).otherwise(empty)
 

@@ -58,7 +58,7 @@ def compare(spark, con, key, query, sql, sf_dir):
     a, b = canonical(got_cols, got_rows), canonical(want_cols, want_rows)
     if a[0] != b[0]:
         return f"columns {a[0]} != {b[0]}"
-    if not b[1]:
+    if not a[1] and not b[1]:
         return "SQL gives no rows"
     if a[1] != b[1]:
         left, right = set(a[1]) - set(b[1]), set(b[1]) - set(a[1])
