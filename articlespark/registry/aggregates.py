@@ -89,24 +89,24 @@ _DASH_KEYS_SQL = ", ".join(
 
 
 @register("agg_dashboard", f"""WITH {MIXED}, m AS (
-  SELECT m.*, l_orderkey * 10 + l_linenumber AS article_id, p_brand AS source_name, p_type AS subject, dayname(l.l_shipdate) AS day_of_week,
-    dayname(l.l_shipdate) AS day_label, CAST(month(l.l_shipdate) AS INT) AS month, CAST(year(l.l_shipdate) AS INT) AS year, p_name AS media_type, len(string_split(p_name, ' ')) AS n
-  FROM mixed m JOIN lineitem l USING (l_orderkey, l_linenumber) JOIN part ON l_partkey = p_partkey)
+  SELECT m.*, l_orderkey * 10 + l_linenumber AS article_id, p_brand AS source_name, p_type AS subject, dayname(date_clean) AS day_of_week,
+    dayname(date_clean) AS day_label, CAST(month(date_clean) AS INT) AS month, CAST(year(date_clean) AS INT) AS year, p_name AS media_type, len(string_split(p_name, ' ')) AS n
+  FROM mixed m JOIN part ON l_partkey = p_partkey)
 SELECT source_name, subject, day_of_week, day_label, month, year, media_type, label, title_length, CAST(n AS INT) AS count_of_locations,
   CAST(round_even(text_length / 10, 0) * 10 AS BIGINT) AS text_length_value, {_DASH_KEYS_SQL}, CAST(count(article_id) AS BIGINT) AS article_id
 FROM m WHERE label IS NOT NULL GROUP BY ALL""")
 def agg_dashboard(spark, d):
     c = F.col
-    extra = table(spark, d, "lineitem").join(
-        table(spark, d, "part"), c("l_partkey") == c("p_partkey")).select(
-        "l_orderkey", "l_linenumber", c("p_brand").alias("source_name"), c("p_type").alias("subject"),
-        F.date_format("l_shipdate", "EEEE").alias("day_of_week"), F.date_format("l_shipdate", "EEEE").alias("day_label"),
-        F.month("l_shipdate").alias("month"), F.year("l_shipdate").alias("year"), c("p_name").alias("media_type"),
-        F.split("p_name", " ").alias("locationsfromarticle"))
+    parts = table(spark, d, "part").select(
+        c("p_partkey").alias("l_partkey"), c("p_brand").alias("source_name"), c("p_type").alias("subject"),
+        c("p_name").alias("media_type"), F.split("p_name", " ").alias("locationsfromarticle"))
     mixed = measured(spark, d).withColumns(ms.sentiment_mix()).withColumn("article_id", c("l_orderkey") * 10 + c("l_linenumber"))
     mixed = mixed.withColumns({f"sentiment_{k}": tx.sentiment_label(c(f"{k}_polarity"), c(f"{k}_subjectivity"))
                                for k in ("overall", "article", "title")})
-    return dashboard(mixed.join(extra, ["l_orderkey", "l_linenumber"]))
+    mixed = mixed.withColumns({
+        "day_of_week": F.date_format("date_clean", "EEEE"), "day_label": F.date_format("date_clean", "EEEE"),
+        "month": F.month("date_clean"), "year": F.year("date_clean")})
+    return dashboard(mixed.join(parts, "l_partkey"))
 
 
 _DIM_SQL = {"subject": "subject", "source_name": "source_name", "media_type": MEDIA_COMBINED_SQL,

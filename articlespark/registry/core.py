@@ -103,7 +103,7 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
     """Line items with their rates standing in for sentiment measures."""
     c = F.col
     return table(spark, d, "lineitem").select(
-        c("l_orderkey"), c("l_linenumber"), (c("l_discount") * 10 - 0.5).alias("article_polarity"),
+        c("l_orderkey"), c("l_linenumber"), c("l_partkey"), (c("l_discount") * 10 - 0.5).alias("article_polarity"),
         (c("l_tax") * 10 - 0.4).alias("title_polarity"), (c("l_discount") * 9).alias("article_subjectivity"),
         (c("l_tax") * 11).alias("title_subjectivity"), c("l_extendedprice").cast("bigint").alias("text_length"),
         c("l_quantity").cast("int").alias("title_length"), c("l_shipdate").cast("date").alias("date_clean"),
@@ -111,7 +111,7 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
 
 
 MEASURED = """measured AS (
-  SELECT l_orderkey, l_linenumber, l_discount * 10 - 0.5::DOUBLE AS article_polarity,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_discount * 10 - 0.5::DOUBLE AS article_polarity,
          l_tax * 10 - 0.4::DOUBLE AS title_polarity, l_discount * 9 AS article_subjectivity,
          l_tax * 11 AS title_subjectivity, CAST(trunc(l_extendedprice) AS BIGINT) AS text_length,
          CAST(l_quantity AS INT) AS title_length, CAST(l_shipdate AS DATE) AS date_clean,

@@ -35,3 +35,8 @@ def test_query_gives_rows(spark, sf_dir, key):
 
 def test_every_sql_has_its_query():
     assert set(SQL) <= set(QUERIES)
+
+
+def test_dashboard_counts_every_labelled_line_item_once(spark, sf_dir):
+    counted = QUERIES["agg_dashboard"](spark, sf_dir).agg({"article_id": "sum"}).first()[0]
+    assert counted == spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_returnflag IN ('R', 'A')").count()
