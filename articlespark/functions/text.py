@@ -36,9 +36,6 @@ STATE_PATTERNS = [
     r", ([A-Za-z\s]+), Argentina",
 ]
 
-# Largest lemma table that is inlined as a literal map; above it use operators.text.lemmatize_join.
-INLINE_LEMMAS = 500
-
 
 def default_stopwords(spark: SparkSession) -> list[str]:
     """Spark ML's English list; callers may pass any other list."""
@@ -78,9 +75,14 @@ def drop_words(tokens: Column, stopwords: Iterable[str]) -> Column:
     return F.filter(tokens, lambda w: ~w.isin(stop)) if stop else tokens
 
 
+def replace_words(tokens: Column, words_map: Column) -> Column:
+    """Tokens mapped through a map column; words it does not have, and a null map, change nothing."""
+    return F.transform(tokens, lambda w: F.coalesce(F.try_element_at(words_map, w), w))
+
+
 def lemmatize(tokens: Column, lemmas: Mapping[str, str]) -> Column:
-    if len(lemmas) > INLINE_LEMMAS:
-        raise ValueError("lemma table too large to inline; use operators.text.lemmatize_join")
+    """Tokens mapped through a few given forms, written into the plan. For a dictionary see
+    ``operators.textjobs.lemmatize_join``, which takes a table."""
     if not lemmas:
         return tokens
     table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])

@@ -12,8 +12,13 @@ def _nth(year: Column, month: int, weekday: str, n: int) -> Column:
     return F.date_add(F.next_day(before, weekday), 7 * (n - 1))
 
 
-def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """(date, name) for every US federal holiday and its observed day in the years given.
+# No holiday has a rule before the first year; dates are readable up to the last.
+FIRST_YEAR, LAST_YEAR = 1971, 2262
+
+
+def us_holidays(spark: SparkSession, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
+    """(date, name) for every US federal holiday and its observed day in the years given, by default
+    all years a readable date can have, so that no pass over the dates is needed first.
 
     A fixed holiday on a Saturday is observed the Friday before, on a Sunday the Monday after. One
     row per date; names sharing a date are joined by ``'; '``. The rules hold from 1971 on.
@@ -55,7 +60,8 @@ def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFra
 def with_holidays(df: DataFrame, date_col: str, holidays: DataFrame) -> DataFrame:
     """Add ``holiday`` (0/1) and ``day_label`` (holiday name, else weekday name).
 
-    ``holidays`` holds one row per date, a dozen or so per year, and so is always broadcast."""
+    ``holidays`` holds one row per date, a dozen or so per year and some 4,000 for all years, and so is
+    always broadcast."""
     named = holidays.select(F.col("date").alias(date_col), F.col("name").alias("_holiday"))
     return (df.join(F.broadcast(named), date_col, "left")
             .withColumn("holiday", F.col("_holiday").isNotNull().cast("int"))

@@ -19,8 +19,6 @@ CITY_COLUMNS = ["city_ascii", "admin_name", "country", "iso2", "iso3", "lat", "l
 STATE_COLUMNS = ["Place Name", "State Capital", "Country", "Latitude", "Longitude"]
 REGION_COLUMNS = ["country", "sub_region", "continent", "code_2", "code_3"]
 COUNTRY_LEVEL = "Country level only"
-# More distinct first words of longer names than this are not inlined as literals.
-MAX_OPENERS = 2_000
 
 
 def gazetteer(cities: DataFrame, states: DataFrame, regions: DataFrame) -> DataFrame:
@@ -37,33 +35,32 @@ def gazetteer(cities: DataFrame, states: DataFrame, regions: DataFrame) -> DataF
 def find_places(df: DataFrame, id_col: str, text: str, names: DataFrame, name_col: str = "location") -> DataFrame:
     """Distinct (id, location) for the gazetteer names in each text, as whole words.
 
-    Reading left to right, the longest name at a position wins and the search goes on behind it.
-    Each token position becomes one row holding the token and the few tokens after it; only
-    positions whose token starts some name survive the join. The choice between overlapping names
-    looks at the matches of a single article.
+    Text and names are compared as lists of words, so punctuation in either makes no difference; of
+    names with the same words, the last in order stands for all. Reading left to right, the longest name
+    at a position wins and the search goes on behind it. Each token position becomes one row holding the
+    few tokens from there on. It meets the lengths of the names that open with its token, one row per
+    opening word, and then the names by equality, so that a word that opens many names does not
+    multiply its rows. The choice between overlapping names looks at the matches of a single article.
     """
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(f"([{tx.WORD}]+)"), 1)
-    name_tokens = F.regexp_extract_all(F.col(name_col), F.lit(f"([{tx.WORD}]+)"), 1)
-    entries = materialize(names.select(F.lower(name_col).alias("location")).distinct()
-               .withColumn("_tokens", F.regexp_extract_all("location", F.lit(f"([{tx.WORD}]+)"), 1))
-               .filter((F.size("_tokens") > 0) & (F.array_join("_tokens", " ") == F.col("location")))
-               .select("location", F.get("_tokens", F.lit(0)).alias("_first"), F.size("_tokens").alias("_len")), "names")
+    def in_words(c: Column) -> Column:
+        return F.regexp_extract_all(F.lower(c), F.lit(f"([{tx.WORD}]+)"), 1)
+
+    entries = materialize(
+        names.select(F.lower(name_col).alias("location"), in_words(F.col(name_col)).alias("_tokens"))
+        .filter(F.size("_tokens") > 0).groupBy("_tokens").agg(F.max("location").alias("location"))
+        .select("location", F.get("_tokens", F.lit(0)).alias("_first"), F.size("_tokens").alias("_len"),
+                F.array_join("_tokens", " ").alias("_name")), "names")
     longest = entries.agg(F.max("_len")).first()[0] or 1
-    # only tokens that start a longer name need the tokens after them
-    openers = [r[0] for r in entries.filter("_len > 1").select("_first").distinct().limit(MAX_OPENERS + 1).collect()]
+    openers = entries.groupBy("_first").agg(F.sort_array(F.collect_set("_len")).alias("_lens"))
 
-    def window(w: Column, i: Column) -> Column:
-        ahead = F.array_join(F.slice("_t", i + 1, longest), " ")
-        if len(openers) > MAX_OPENERS:
-            return ahead
-        return F.when(w.isin(openers), ahead).otherwise(w) if openers else w
-
-    spots = (df.select(id_col, tokens.alias("_t"))
+    spots = (df.select(id_col, in_words(F.col(text)).alias("_t"))
              .select(id_col, F.explode(F.transform("_t", lambda w, i: F.struct(
-                 i.alias("pos"), w.alias("first"), window(w, i).alias("window")))).alias("s"))
+                 i.alias("pos"), w.alias("_first"), F.slice("_t", i + 1, longest).alias("ahead")))).alias("s"))
              .select(id_col, "s.*"))
-    starts = F.concat("window", F.lit(" ")).startswith(F.concat("location", F.lit(" ")))
-    hits = (spots.join(small(entries), (F.col("first") == F.col("_first")) & starts)
+    tried = (spots.join(small(openers), "_first")
+             .select(id_col, "pos", "ahead", F.explode("_lens").alias("_len")).filter(F.size("ahead") >= F.col("_len"))
+             .select(id_col, "pos", F.array_join(F.slice("ahead", F.lit(1), F.col("_len")), " ").alias("_name")))
+    hits = (tried.join(small(entries.drop("_first")), "_name")
             .groupBy(id_col, "pos").agg(F.max(F.struct("_len", "location")).alias("m"))
             .select(id_col, F.struct(F.col("pos"), F.col("m._len").alias("len"), F.col("m.location")).alias("hit")))
     free = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("found"))

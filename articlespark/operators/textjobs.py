@@ -11,18 +11,24 @@ from ..functions import text as tx
 from ..runtime import small
 
 
+def with_lemmas(df: DataFrame, id_col: str, tokens: Column, lemmas: DataFrame, name: str = "_lemmas") -> DataFrame:
+    """Add a map from the forms in ``tokens`` that change to their lemmas, from a (form, lemma) table of any size.
+
+    Only an article's distinct words meet the table, and only those that change are shuffled; the map
+    holds no more than the article's own words. Of several lemmas of a form the smallest counts. An
+    article without such words, or without an id, gets null."""
+    forms = (lemmas.dropna(subset=["form"]).groupBy("form").agg(F.min("lemma").alias("lemma"))
+             .filter("lemma <> form"))
+    changed = df.select(id_col, F.explode(F.array_distinct(tokens)).alias("form")).join(small(forms), "form")
+    maps = changed.groupBy(id_col).agg(F.map_from_entries(F.collect_set(F.struct("form", "lemma"))).alias(name))
+    return df.join(maps, id_col, "left")
+
+
 def lemmatize_join(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame) -> DataFrame:
-    """Map a token array through a (form, lemma) table of any size, keeping the token order.
-
-    The tokens of one row are gathered again by position, so a group is one article."""
-    spots = df.select(id_col, F.posexplode(tokens).alias("pos", "form"))
-    forms = lemmas.dropna(subset=["form"]).groupBy("form").agg(F.min("lemma").alias("lemma"))
-    mapped = spots.join(small(forms), "form", "left").select(
-        id_col, F.struct("pos", F.coalesce("lemma", "form").alias("word")).alias("spot"))
-    lists = mapped.groupBy(id_col).agg(F.sort_array(F.collect_list("spot")).alias("_spots"))
-    return (df.drop(tokens).join(lists, id_col, "left")
-            .withColumn(tokens, F.coalesce(F.col("_spots.word"), F.array().cast("array<string>")))
-            .drop("_spots"))
+    """Map a token array through a (form, lemma) table of any size, keeping the token order."""
+    mapped = tx.replace_words(F.col(tokens), F.col("_lemmas"))
+    return (with_lemmas(df, id_col, F.col(tokens), lemmas)
+            .withColumn(tokens, F.coalesce(mapped, F.array().cast("array<string>"))).drop("_lemmas"))
 
 
 def lexicon_scores(df: DataFrame, id_col: str, texts: Mapping[str, Column], lexicon: DataFrame) -> DataFrame:

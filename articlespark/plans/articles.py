@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,6 @@ class Settings:
 
     default_year: int
     stopwords: Sequence[str] = ()
-    lemmas: Mapping[str, str] = field(default_factory=dict)
     strip_article_punct: bool = False
     try_date_formats: bool = False
 
@@ -62,9 +61,7 @@ def add_dates(spark: SparkSession, df: DataFrame, settings: Settings) -> DataFra
     df = df.withColumns({"month_raw": month, "day_raw": day, "year_raw": year, "date_clean": clean})
     df = df.withColumns({"month": F.month("date_clean"), "day": F.dayofmonth("date_clean"),
                          "year": F.year("date_clean"), **dt.date_features(F.col("date_clean"))})
-    bounds = df.agg(F.min("year"), F.max("year")).first()
-    first, last = (bounds[0], bounds[1]) if bounds[0] is not None else (2000, 2000)
-    return calendar.with_holidays(df, "date_clean", calendar.us_holidays(spark, first, last))
+    return calendar.with_holidays(df, "date_clean", calendar.us_holidays(spark))
 
 
 def classify_and_combine(spark: SparkSession, true: DataFrame, fake: DataFrame, test: DataFrame,
@@ -89,13 +86,20 @@ def prepare(df: DataFrame) -> DataFrame:
     })
 
 
-def process_nlp(df: DataFrame, settings: Settings) -> DataFrame:
-    """Cleaned text, title and places, and text and places together."""
+def process_nlp(df: DataFrame, lemmas: DataFrame, settings: Settings) -> DataFrame:
+    """Cleaned text, title and places, and text and places together; words are mapped through the (form, lemma) table."""
+    def tokens(c):
+        return tx.clean_tokens(c, settings.stopwords)
+
     def clean(c):
-        return tx.clean_text(c, settings.stopwords, settings.lemmas)
+        return F.coalesce(F.array_join(tx.replace_words(tokens(c), F.col("_lemmas")), " "), F.lit(""))
 
+    none = F.array().cast("array<string>")
+    every = F.concat(*[F.coalesce(a, none) for a in (
+        tokens(F.col("cleaned_text")), tokens(F.col("title")), tokens(F.array_join("location", " ")))])
+    df = textjobs.with_lemmas(df, "article_id", every, lemmas)
     df = df.withColumns({"nlp_text": clean(F.col("cleaned_text")), "nlp_title": clean(F.col("title")),
-                         "nlp_location": ls.map_items(F.col("location"), clean)})
+                         "nlp_location": ls.map_items(F.col("location"), clean)}).drop("_lemmas")
     return df.withColumn("nlp_textloc", tx.join_list(F.col("nlp_text"), F.col("nlp_location")))
 
 
@@ -149,6 +153,7 @@ class Inputs:
     states: DataFrame
     regions: DataFrame
     lexicon: DataFrame
+    lemmas: DataFrame
 
 
 def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings,
@@ -162,7 +167,7 @@ def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: S
 
     combined = saved_stage("combined", "useprecombineddata", lambda: prepare(classify_and_combine(
         spark, inputs.true, inputs.fake, inputs.test, settings)))
-    nlp = saved_stage("nlp", "usepostnlpdata", lambda: process_nlp(combined, settings))
+    nlp = saved_stage("nlp", "usepostnlpdata", lambda: process_nlp(combined, inputs.lemmas, settings))
     scored = saved_stage("scored", "useprelocationdata", lambda: apply_sentiment(nlp, inputs.lexicon))
     located = saved_stage("located", "useprelocationenricheddata", lambda: locate(
         scored, inputs.cities, inputs.states, inputs.regions))

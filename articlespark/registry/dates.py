@@ -109,8 +109,7 @@ HOLIDAYS = (ARTICLES + ", years AS (SELECT CAST(y AS BIGINT) AS y FROM (SELECT u
 
 
 def with_holidays(spark, df):
-    years = df.agg(F.year(F.min("date_clean")), F.year(F.max("date_clean"))).first()
-    return calendar.with_holidays(df, "date_clean", calendar.us_holidays(spark, years[0], years[1]))
+    return calendar.with_holidays(df, "date_clean", calendar.us_holidays(spark))
 
 
 @register("holiday_flag", f"""WITH {HOLIDAYS} SELECT article_id, date_clean, CAST(h.name IS NOT NULL AS INT) AS holiday

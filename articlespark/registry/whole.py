@@ -12,8 +12,9 @@ from .locations import cities, regions, states
 def build(spark, d):
     true, fake, test = raw_sources(spark, d)
     inputs = job.Inputs(true, fake, test, cities(spark), states(spark), regions(spark),
-                        literal(spark, SENTIMENT, "word string, polarity double, subjectivity double"))
-    settings = job.Settings(default_year=2020, stopwords=STOPWORDS, lemmas=LEMMAS)
+                        literal(spark, SENTIMENT, "word string, polarity double, subjectivity double"),
+                        literal(spark, list(LEMMAS.items()), "form string, lemma string"))
+    settings = job.Settings(default_year=2020, stopwords=STOPWORDS)
     return job.build_articles(spark, inputs, shared_path(spark, "articles"), settings)
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from articlespark import runtime, schemas
+from articlespark.functions import text
 from articlespark.operators import (aggregates, calendar, features, joins, locations, metrics, models, ngrams, ordering,
                                     profile, rows, sampling, textjobs)
 from articlespark.sources import readers
@@ -95,6 +96,20 @@ def test_places_longest_name_wins(spark):
     assert got == [(1, "new york city"), (1, "york"), (4, "new york"), (4, "york")]
 
 
+def test_places_with_punctuation(spark):
+    texts = spark.createDataFrame([(1, "From Guinea-Bissau to St. Ives"), (2, "guinea bissau, st ives"), (3, "st. guinea")], "id int, t string")
+    names = spark.createDataFrame([("Guinea-Bissau",), ("st. ives",), ("--",), (None,)], "location string")
+    got = sorted((r["id"], r["location"]) for r in locations.find_places(texts, "id", "t", names).collect())
+    assert got == [(i, n) for i in (1, 2) for n in ("guinea-bissau", "st. ives")]
+
+
+def test_places_with_a_word_that_opens_many_names(spark):
+    names = spark.createDataFrame([(f"san n{i}",) for i in range(3000)] + [(f"a{i} b",) for i in range(3000)], "location string")
+    texts = spark.createDataFrame([(1, "san n2999 a2500 b san a1")], "id int, t string")
+    got = sorted(r["location"] for r in locations.find_places(texts, "id", "t", names).collect())
+    assert got == ["a2500 b", "san n2999"]
+
+
 def test_namibia_stays_unless_na_is_null(spark):
     cities = spark.createDataFrame([("Windhoek", "Khomas", "Namibia", "NA", "NAM", -22.5, 17.0, 0)], schemas.WORLD_CITIES)
     states = spark.createDataFrame([], schemas.US_STATES)
@@ -147,6 +162,16 @@ def test_lemmas_keep_the_order(spark):
     assert got == {1: ["dog", "x", "dog", "cat"], 2: []}
 
 
+def test_lemma_table_of_any_size(spark):
+    lem = spark.range(12_000).select(F.concat(F.lit("w"), "id").alias("form"), F.concat(F.lit("l"), "id").alias("lemma"))
+    df = spark.createDataFrame([(1, ["w11999", "x", "w501"]), (2, None), (None, ["w1"])], "id int, t array<string>")
+    got = {r["id"]: r["t"] for r in textjobs.lemmatize_join(df, "id", "t", lem).collect()}
+    # without an id, words cannot find their map
+    assert got == {1: ["l11999", "x", "l501"], 2: [], None: ["w1"]}
+    inline = {f"w{i}": f"l{i}" for i in range(501)}
+    assert df.filter("id = 1").select(text.lemmatize(F.col("t"), inline | {"w501": "l"}).alias("t")).first()["t"] == ["w11999", "x", "l"]
+
+
 def test_scaling_uses_the_population_deviation(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
     mean, std = features.fit_scale(df, ["x"])["x"]

@@ -53,10 +53,23 @@ def test_whole_article_job(spark, sf_dir):
 
 
 def test_final_cleanup(spark):
-    df = spark.createDataFrame([(None, "some text", "abc", "X", "US", ["a"]), ("Politics", None, "def", "Y", "UK", ["b"])],
-                               "subject string, cleaned_text string, nlp_textloc string, source string, location string, nlp_location array<string>")
-    got = job.finalize(df).collect()
-    assert [tuple(r) for r in got] == [("Unknown", "some text")]
+    df = spark.createDataFrame([(1, "", "rain", "rain oslo", "OSLO (X) -", ["oslo"], ["oslo"]), (2, None, "", None, None, [], None),
+                                (3, "World", None, "", "", None, [])],
+                               "article_id int, subject string, cleaned_text string, nlp_textloc string, source string, "
+                               "location array<string>, nlp_location array<string>")
+    got = job.finalize(df)
+    # an empty subject and an empty text stay, only a null text goes
+    assert got.columns == ["article_id", "subject", "cleaned_text"]
+    assert sorted(map(tuple, got.collect())) == [(1, "", "rain"), (2, "Unknown", "")]
+
+
+def test_cleaning_maps_lemmas_in_text_title_and_places(spark):
+    df = spark.createDataFrame([(1, "The Dogs ran", None, ["cats", "Oslo dogs"]), (2, "", "x", [])],
+                               "article_id int, cleaned_text string, title string, location array<string>")
+    lemmas = spark.createDataFrame([("dogs", "dog"), ("cats", "cat"), ("ran", None)], "form string, lemma string")
+    got = {r["article_id"]: r for r in job.process_nlp(df, lemmas, job.Settings(default_year=2020, stopwords=["the"])).collect()}
+    assert (got[1]["nlp_text"], got[1]["nlp_title"], got[1]["nlp_location"]) == ("dog ran", "", ["cat", "oslo dog"])
+    assert got[1]["nlp_textloc"] == "dog ran cat oslo dog" and got[2]["nlp_title"] == "x"
 
 
 @pytest.mark.parametrize("kind", ["classification", "regression"])
