@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from math import inf, log
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,11 @@ from .ordering import dense_ids
 
 MIN_VARIANCE = 0.01
 MAX_CORRELATION = 0.9
-MAX_ONEHOT = 1_000
+
+
+def number(name: str) -> Column:
+    """The column of exactly this name, which may hold dots, as a double."""
+    return F.col("`" + name.replace("`", "``") + "`").cast("double")
 
 
 def standardize(c: Column, mean: float, std: float) -> Column:
@@ -82,11 +87,23 @@ def encode_ordinal(df: DataFrame, col: str, codes: DataFrame, name: str | None =
             .withColumn(name or f"{col}_code", F.coalesce("_code", F.lit(-1.0))).drop("_code"))
 
 
-def categories(df: DataFrame, col: str, limit: int = MAX_ONEHOT) -> list[str]:
-    """Sorted values of a low-cardinality column; more than ``limit`` is an error."""
-    rows = df.select(F.col(col).cast("string").alias("v")).dropna().distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} categories; encode it by ordinal codes")
+def onehot_vector(df: DataFrame, col: str, codes: DataFrame, name: str | None = None) -> DataFrame:
+    """Sparse vector with a one at the value's code; all zeros for nulls and values the codes do not have.
+
+    For columns of any cardinality: only the number of values reaches the driver."""
+    n = codes.count()
+    # index n stands for all other values and is the last one, which the encoder leaves out
+    last = df.sparkSession.range(n, n + 1).select(F.col("id").cast("double").alias("_index"))
+    encoder = OneHotEncoder(inputCol="_index", outputCol=name or f"{col}_onehot", dropLast=True).fit(last)
+    coded = encode_ordinal(df, col, codes, "_index")
+    other = F.when(F.col("_index") < 0, F.lit(float(n))).otherwise(F.col("_index"))
+    return encoder.transform(coded.withColumn("_index", other)).drop("_index")
+
+
+def categories(df: DataFrame, col: str) -> list[str]:
+    """Sorted values of a column that gets a column per value, whose names have to be known in the
+    driver; ``onehot_vector`` does without them."""
+    rows = df.select(F.col(col).cast("string").alias("v")).dropna().distinct().collect()
     return sorted(r["v"] for r in rows)
 
 
@@ -155,20 +172,20 @@ def fit_features(df: DataFrame, onehot: Sequence[str] = (), skewed: Sequence[str
 
 def target_correlation(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """Correlation of each feature with the label, largest first."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in features])
+    row = df.agg(*[F.corr(number(c), number(label)).alias(c) for c in features])
     return _pairs(row, features, "correlation").orderBy(F.desc("correlation"), "feature")
 
 
 def variance_filter(df: DataFrame, features: Sequence[str], threshold: float = MIN_VARIANCE) -> DataFrame:
     """Population variance per feature and whether it is above the threshold."""
-    row = df.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in features])
+    row = df.agg(*[F.var_pop(number(c)).alias(c) for c in features])
     return _pairs(row, features, "variance").withColumn("kept", F.col("variance") > F.lit(threshold))
 
 
 def pair_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Absolute correlation of every feature with each earlier one, from one aggregate."""
     pairs = [(a, b) for j, b in enumerate(features) for a in features[:j]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
+    row = df.agg(*[F.corr(number(a), number(b)).alias(f"p{i}")
                    for i, (a, b) in enumerate(pairs)])
     items = F.array(*[F.struct(F.lit(a).alias("earlier"), F.lit(b).alias("feature"),
                                F.abs(F.col(f"p{i}")).alias("correlation")) for i, (a, b) in enumerate(pairs)])
@@ -182,5 +199,5 @@ def correlated_features(df: DataFrame, features: Sequence[str], threshold: float
 
 
 def _pairs(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
-    items = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").alias(value)) for n in names])
+    items = F.array(*[F.struct(F.lit(n).alias("feature"), number(n).alias(value)) for n in names])
     return row.select(F.explode(items).alias("p")).select("p.*")

@@ -101,11 +101,9 @@ def _scaled(spark, d):
 def ml_linear(spark, d):
     data, _ = _scaled(spark, d)
     data = sampling.split(data, "article_id")
-    train = data.filter("split = 'train'")
-    rows = train.count()
-    train = models.packed(train, rows).persist()
+    train = data.filter("split = 'train'").persist()
     out = None
-    for name, estimator in models.linear_models(rows).items():
+    for name, estimator in models.linear_models(train.count()).items():
         model = estimator.fit(train)
         part = model.transform(data).select(F.lit(name).alias("estimator"), "article_id", "split", "label", "prediction")
         out = part if out is None else out.unionByName(part)

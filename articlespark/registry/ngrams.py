@@ -63,12 +63,18 @@ def ngram_by_year(spark, d):
     return summary(spark, d).select("year", *_COLS.split(", "))
 
 
-@register("ngram_terms", f"""WITH {OCCURRENCES} SELECT label, ngram_size, term, CAST(count(*) AS BIGINT) AS cnt FROM occurrences
-GROUP BY ALL HAVING count(*) >= 3""")
+# All terms, one row per first hexadecimal digits of their hash: how many, how often, and a sum over (term, count) pairs
+@register("ngram_terms", f"""WITH {OCCURRENCES}, t AS (SELECT label, ngram_size, term, count(*) AS cnt FROM occurrences GROUP BY ALL)
+SELECT label, ngram_size, substr(md5(term), 1, 2) AS part, CAST(count(*) AS BIGINT) AS terms, CAST(sum(cnt) AS BIGINT) AS occurrences,
+       CAST(sum(CAST('0x' || substr(md5(term || ' ' || CAST(cnt AS VARCHAR)), 1, 8) AS BIGINT)) AS BIGINT) AS digest
+FROM t GROUP BY ALL""")
 def ngram_terms(spark, d):
     labelled = docs(spark, d).filter(F.col("label").isin(0, 1))
     terms = ng.ngram_terms(labelled, ["label"], "text", (1, 2, 3), STOPWORDS)
-    return terms.groupBy("label", "ngram_size", "term").agg(F.sum("cnt").alias("cnt")).filter("cnt >= 3")
+    counts = terms.groupBy("label", "ngram_size", "term").agg(F.sum("cnt").alias("cnt"))
+    pair = F.conv(F.substring(F.md5(F.concat_ws(" ", "term", F.col("cnt").cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return counts.groupBy("label", "ngram_size", F.substring(F.md5("term"), 1, 2).alias("part")).agg(
+        F.count("*").alias("terms"), F.sum("cnt").alias("occurrences"), F.sum(pair).alias("digest"))
 
 
 @register("ngram_stop_filter", f"""WITH {OCCURRENCES} SELECT ngram_size, CAST(count(*) AS BIGINT) AS occurrences, CAST(count(DISTINCT term) AS BIGINT) AS terms
@@ -100,11 +106,14 @@ def ngram_cloud_subsets(spark, d):
 
 
 @register("repeat_terms", f"""WITH {CLOUDS} SELECT year, ngram_size, subset, term, CAST(weight * (length(term) + 1) AS BIGINT) AS characters,
-md5(repeat(term || ' ', weight)) AS text_md5 FROM clouds WHERE weight > 0 AND weight <= 65536""")
+md5(CASE WHEN weight >= 65536 THEN repeat(md5(repeat(term || ' ', 65536)), weight // 65536) ELSE '' END
+    || CASE WHEN weight % 65536 > 0 THEN md5(repeat(term || ' ', weight % 65536)) ELSE '' END) AS text_md5 FROM clouds WHERE weight > 0""")
 def repeat_terms(spark, d):
     fragments = ng.repeat_terms(ng.cloud_subsets(summary(spark, d)))
+    # the hash of the hashes of a term's fragments in order; a term has one per 65,536 occurrences
+    parts = F.sort_array(F.collect_list(F.struct("part", F.md5("fragment").alias("h"))))
     return fragments.groupBy("year", "ngram_size", "subset", "term").agg(
-        F.sum(F.length("fragment")).alias("characters"), F.md5(F.max("fragment")).alias("text_md5"))
+        F.sum(F.length("fragment")).alias("characters"), F.md5(F.array_join(parts["h"], "")).alias("text_md5"))
 
 
 @register("ngram_vocab_gate", f"""WITH {summary_sql('')}, kept AS (SELECT * FROM summary WHERE total_count >= 20),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # The reuse flags from the first stage to the last.
@@ -21,12 +20,11 @@ def resolve_flags(flags: Mapping[str, bool]) -> dict[str, bool]:
 
 
 def saved(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    """The table if its writing was finished, which the marker of the output commit tells."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+        return None
+    return spark.read.parquet(path)
 
 
 def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], reuse: bool = False) -> DataFrame:

@@ -21,14 +21,15 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def save_by_year(df: DataFrame, path: str, year: str = "year", files_per_year: int = 8,
-                 fmt: str = "parquet") -> None:
+def save_by_year(df: DataFrame, path: str, year: str = "year", fmt: str = "parquet",
+                 rows_per_file: int = 5_000_000) -> None:
     """One directory per year in a single job; rows without a year are left out.
 
-    Rows of a year go to ``files_per_year`` tasks, so one large year is not written by one task."""
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != year]), F.lit(files_per_year))
-    (df.dropna(subset=[year]).repartition(F.col(year), spread)
-     .write.mode("overwrite").partitionBy(year).format(fmt).save(path))
+    Tasks get equal ranges of (year, hash of the rest), so a large year is written by as many tasks as
+    its share of the rows, and a small one by one or two."""
+    rest = F.xxhash64(*[c for c in df.columns if c != year])
+    (df.dropna(subset=[year]).repartitionByRange(F.col(year), rest).write.mode("overwrite")
+     .option("maxRecordsPerFile", rows_per_file).partitionBy(year).format(fmt).save(path))
 
 
 def save_text(fragments: DataFrame, path: str, by: list[str], fragment: str = "fragment") -> None:

@@ -194,8 +194,24 @@ def test_unknown_categories(spark):
     hot = features.onehot_columns("c", features.categories(df, "c"))
     rows_ = [tuple(r) for r in seen.select(*[e.alias(n) for n, e in hot.items()]).collect()]
     assert rows_ == [(1.0, 0.0), (0.0, 1.0), (0.0, 0.0), (0.0, 0.0)]
-    with pytest.raises(ValueError):
-        features.categories(df, "c", limit=1)
+    sparse = features.onehot_vector(seen, "c", codes).collect()
+    assert {r["c"]: r["c_onehot"].toArray().tolist() for r in sparse} == {
+        "a": [1.0, 0.0], "b": [0.0, 1.0], "z": [0.0, 0.0], None: [0.0, 0.0]}
+
+
+def test_onehot_of_many_categories(spark):
+    df = spark.range(1_001).select(F.concat(F.lit("v"), "id").alias("c"))
+    assert len(features.fit_features(df, onehot=["c"]).names) == 1_001
+    rows_ = features.onehot_vector(df, "c", features.ordinal_codes(df, "c")).collect()
+    assert sorted(int(r["c_onehot"].indices[0]) for r in rows_) == list(range(1_001)) and rows_[0]["c_onehot"].size == 1_001
+
+
+def test_feature_names_with_dots(spark):
+    df = spark.createDataFrame([(1.0, 0.0, 1), (0.0, 1.0, 0), (1.0, 1.0, 1)], "`U.S. News` double, b double, label int")
+    names = ["U.S. News", "b"]
+    assert features.target_correlation(df, names).first()["feature"] == "U.S. News"
+    assert features.variance_filter(df, names).filter("kept").count() == 2
+    assert features.pair_correlations(df, names).first()["earlier"] == "U.S. News"
 
 
 def test_report_of_published_cells(spark):

@@ -54,6 +54,26 @@ def test_stage_is_built_once(spark, tmp_path):
     assert len(calls) == 2
 
 
+def test_torn_stage_is_built_again(spark, tmp_path):
+    path = tmp_path / "s"
+    spark.range(5).repartition(2).write.parquet(str(path))
+    (path / "_SUCCESS").unlink()
+    assert stages.stage(spark, str(path), lambda: spark.range(3), reuse=True).count() == 3
+    assert stages.stage(spark, str(path), lambda: spark.range(9), reuse=True).count() == 3
+
+
+def test_a_large_year_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(20_000).select(F.when(F.col("id") < 50, 2015).otherwise(2016).alias("year"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.save_by_year(df, str(tmp_path / "y"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {y: len(list((tmp_path / "y" / f"year={y}").glob("part-*"))) for y in (2015, 2016)}
+    assert files[2015] <= 2 < files[2016]
+    assert spark.read.parquet(str(tmp_path / "y")).count() == 20_000
+
+
 def test_flags_close_over_earlier_stages():
     flags = {"useprecombineddata": False, "usepostnlpdata": False, "useprelocationdata": False,
              "useprelocationenricheddata": True}
