@@ -99,13 +99,13 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def slices(texts: pa.Array):
-    """(first row, texts) in runs of limited size; a longer text is a run of its own."""
+def slices(texts: pa.Array, size: int = SLICE_BYTES):
+    """(first row, texts) in runs of at most ``size`` bytes; a longer text is a run of its own."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     ends = np.cumsum(pc.binary_length(texts).to_numpy())
     first = 0
     while first < len(texts):
-        limit = (ends[first - 1] if first else 0) + SLICE_BYTES
+        limit = (ends[first - 1] if first else 0) + size
         last = max(first + 1, int(np.searchsorted(ends, limit, side="right")))
         yield first, texts.slice(first, last - first)
         first = last
