@@ -294,8 +294,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Equal texts are one text in the suffix array; all of it is a passage of each. Of every other text the suffixes at minimiser
     positions are kept. Those whose first words occur in two texts are sorted by the words after them, compared with the
-    neighbours in that order and extended right and left (with many texts around, also in the order of the words before); suffixes are at most ``least`` words apart inside a match, so that
-    the extensions of one reach those of the next and together give the whole passage. Where a suffix has more texts around
+    neighbours in that order and extended right and left (with many suffixes around, also in the order of the words before); suffixes are at most ``least`` words apart inside a match, so that
+    the extensions of one reach those of the next and together give the whole passage. Where a suffix has more suffixes around
     than it was compared with, and no match, all windows that hold it are compared by hash. Passages that a document
     only shares with itself are not reported.
 
@@ -319,7 +319,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     chosen = texts.join(small(wanted), texts.id.eqNullSafe(F.col("_id"))).select("text", "places", "c1", "c2")
     suffixes = materialize(suffix_rows(chosen, least).distinct(), "suffixes")
 
-    wide = suffixes.groupBy("key").agg(F.count_distinct("c1", "c2").alias("n")).where(F.col("n") > NEIGHBOURS + 1).select("key")
+    # by rows, since a text that repeats itself stands between others as often as it has the key
+    wide = suffixes.groupBy("key").count().where(F.col("count") > NEIGHBOURS + 1).select("key")
     wide = materialize(wide, "wide")
     many = suffixes.join(wide, "key", "left_semi")
     matches = materialize(all_matches(suffixes, least, "right", "left").union(all_matches(many, least, "left", "right")), "matches")

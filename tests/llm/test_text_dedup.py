@@ -170,6 +170,19 @@ def test_many_texts_with_one_passage_cross_ranges_and_neighbour_limits(spark):
     assert collections.Counter((r.doc_id, r.start_word, r.n_words) for r in got) == spans(rows, 50)
 
 
+def test_a_text_that_repeats_a_prefix_does_not_part_two_others(spark):
+    import random
+    rnd = random.Random(4)
+    rows = []
+    for n in range(12):
+        passage = prose(rnd, 50)
+        end = passage.split(" ", 1)[1]
+        rows += [(10 * n + k, f"{prose(rnd, 9)} {passage} {prose(rnd, 40)}", "en", "a", 1) for k in (0, 1)]
+        rows.append((10 * n + 2, " ".join(f"{prose(rnd, 9)} {end} {prose(rnd, 9)}" for _ in range(100)), "en", "a", 1))
+    got = suffixes.repeated_passages(table(spark, rows, clashing=False)).collect()
+    assert collections.Counter((r.doc_id, r.start_word, r.n_words) for r in got) == spans(rows, 50)
+
+
 @pytest.mark.parametrize("job", [exact.exact_groups, exact.drop_copies, jaccard.link_documents, jaccard.drop_near_copies,
                                  suffixes.repeated_passages])
 def test_an_empty_table_gives_no_rows(spark, job):
