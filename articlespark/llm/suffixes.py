@@ -15,7 +15,8 @@ from .words import hash_shingles, hash_words, mixed
 PREFIX, RANKED = 20, 5
 # Neighbours on either side that a suffix is compared with.
 NEIGHBOURS = 4
-ENTRY = "key long, right binary, left binary, c1 long, c2 long, pos int"
+SUFFIX = ["key", "right", "left", "c1", "c2", "pos"]
+ENTRY = "key long, right binary, left binary, c1 long, c2 long, pos int, back int, n int"
 MATCH = "c1 long, c2 long, start int, stop int, o1 long, o2 long, key long"
 BORDER = "right binary, left binary, border boolean"
 
@@ -43,9 +44,14 @@ class Sparse:
 
     def starts(self) -> np.ndarray:
         """Places of the kept suffixes among all words."""
+        return self.kept()[0]
+
+    def kept(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, back, n): the kept suffixes, and that they are kept for ``n`` windows of ``least`` words in a row, the first
+        of which begins ``back`` words before. Every window keeps one suffix, chosen by its own words only."""
         n, reach = len(self.words), self.reach
         if n < self.least:
-            return np.empty(0, np.int64)
+            return (np.empty(0, np.int64),) * 3
         rank, _ = hash_shingles(self.words, np.array([0, n]), RANKED)
         best, size = np.arange(len(rank)), 1
         while size * 2 <= reach:  # leftmost least of doubled runs
@@ -58,7 +64,9 @@ class Sparse:
         first = np.arange(len(best))
         first = first[first + self.least <= n]
         whole = self.owner[first] == self.owner[first + self.least - 1]
-        return np.unique(best[first[whole]])
+        first = first[whole]
+        starts, at, count = np.unique(best[first], return_index=True, return_counts=True)
+        return starts, starts - first[at], count
 
     def prefixes(self, starts: np.ndarray) -> np.ndarray:
         sums = np.zeros(len(starts), np.uint64)
@@ -117,10 +125,12 @@ def suffix_rows(texts: DataFrame, least: int) -> DataFrame:
                 pos, owner = pos[same[owner]], owner[same[owner]]
                 starts = sparse.bounds[owner] + pos
                 if len(starts):
+                    kept, back, count = sparse.kept()
+                    spot = np.searchsorted(kept, starts)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(sparse.prefixes(starts)), rows_of(sparse.around(starts, False)), rows_of(sparse.around(starts, True)),
-                         pa.array(c1[owner]), pa.array(c2[owner]), pa.array(pos.astype(np.int32))],
-                        ["key", "right", "left", "c1", "c2", "pos"])
+                         pa.array(c1[owner]), pa.array(c2[owner]), pa.array(pos.astype(np.int32)),
+                         pa.array(back[spot].astype(np.int32)), pa.array(count[spot].astype(np.int32))], [*SUFFIX, "back", "n"])
 
     return texts.mapInArrow(tasks, ENTRY)
 
@@ -132,8 +142,8 @@ def common(block: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def compare(rows: pa.RecordBatch, least: int, fresh: int) -> pa.RecordBatch | None:
-    """Matches of at least ``least`` words between near rows of the sorted order; -1 for ``start`` of rows that share
-    their prefix with a neighbour and have none. Pairs of rows before ``fresh`` have been compared."""
+    """Matches of at least ``least`` words between near rows of the sorted order. Pairs of rows before ``fresh`` have
+    been compared."""
     key, c1, c2, pos = (rows.column(i).to_numpy() for i in (0, 3, 4, 5))
     n = len(key)
     width = least - PREFIX
@@ -158,22 +168,20 @@ def compare(rows: pa.RecordBatch, least: int, fresh: int) -> pa.RecordBatch | No
         return None
     back, on = common(left, a, b), common(right, a, b)
     good = back + PREFIX + on >= least
-    lost = np.setdiff1d(a, a[good])
+    if not good.any():
+        return None
     a, b, back, on = a[good], b[good], back[good], on[good]
     # all matches of a suffix hold it, so together they are one span; its other text is that of the longest
     order = np.lexsort((back + on, a))
     a, b, back, on = a[order], b[order], back[order], on[order]
-    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.empty(0, int)
-    last = np.append(first[1:], len(a))[:len(first)] - 1
-    back, on = (np.maximum.reduceat(x, first) if len(first) else x for x in (back, on))
+    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+    last = np.append(first[1:], len(a)) - 1
+    back, on = (np.maximum.reduceat(x, first) for x in (back, on))
     a, b = a[last], b[last]
-    whose = np.concatenate([a, lost])
-    start = np.concatenate([pos[a] - back, np.full(len(lost), -1)]).astype(np.int32)
-    stop = np.concatenate([pos[a] + PREFIX + on, pos[lost]]).astype(np.int32)
-    blank = np.zeros(len(lost), np.int64)
+    start, stop = ((pos[a] + x).astype(np.int32) for x in (-back, PREFIX + on))
     return pa.RecordBatch.from_arrays(
-        [pa.array(c1[whose]), pa.array(c2[whose]), pa.array(start), pa.array(stop), pa.array(np.concatenate([c1[b], blank])),
-         pa.array(np.concatenate([c2[b], blank])), pa.array(key[whose])], ["c1", "c2", "start", "stop", "o1", "o2", "key"])
+        [pa.array(c1[a]), pa.array(c2[a]), pa.array(start), pa.array(stop), pa.array(c1[b]), pa.array(c2[b]), pa.array(key[a])],
+        ["c1", "c2", "start", "stop", "o1", "o2", "key"])
 
 
 def all_matches(suffixes: DataFrame, least: int, first: str, then: str) -> DataFrame:
@@ -247,23 +255,23 @@ def border_matches(border: DataFrame, least: int, order: list[str]) -> DataFrame
 
 
 def repeated_windows(suffixes: DataFrame, least: int) -> DataFrame:
-    """Matches of exactly ``least`` words around the given suffixes, from hashes of all windows that hold a suffix with its prefix."""
+    """Matches of exactly ``least`` words around the given suffixes, from hashes of all windows that a suffix is kept for."""
     def tasks(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, c1, c2, pos = (batch.column(i).to_numpy() for i in (0, 3, 4, 5))
+            key, c1, c2, pos, most, n = (batch.column(i).to_numpy() for i in (0, 3, 4, 5, 6, 7))
             right, left = (np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u4").reshape(len(key), -1).astype(np.uint64)
                            for i in (1, 2))
             for back in range(left.shape[1] + 1):
                 on = left.shape[1] - back
-                whole = (left[:, :back] != 0).all(axis=1) & (right[:, :on] != 0).all(axis=1)
-                value = mixed(key.view(np.uint64) + np.uint64(back))
-                for words in (left[:, :back], right[:, :on]):
+                own = np.flatnonzero((back <= most) & (back > most - n))
+                value = mixed(key[own].view(np.uint64) + np.uint64(back))
+                for words in (left[own, :back], right[own, :on]):
                     for k in range(words.shape[1]):
                         value = mixed(value ^ words[:, k])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value[whole].view(np.int64)), pa.array(c1[whole]), pa.array(c2[whole]), pa.array((pos - back)[whole].astype(np.int32))],
+                    [pa.array(value.view(np.int64)), pa.array(c1[own]), pa.array(c2[own]), pa.array((pos[own] - back).astype(np.int32))],
                     ["window", "c1", "c2", "start"])
 
     windows = suffixes.mapInArrow(tasks, "window long, c1 long, c2 long, start int")
@@ -280,7 +288,7 @@ def merged(matches: DataFrame) -> DataFrame:
     order = Window.partitionBy("c1", "c2").orderBy("start", "stop")
     before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(F.col("before").isNull() | (F.col("start") > F.col("before")), 1).otherwise(0)
-    cut = matches.distinct().withColumn("before", before).withColumn("new", new).withColumn("span", F.sum("new").over(order))
+    cut = matches.withColumn("before", before).withColumn("new", new).withColumn("span", F.sum("new").over(order))
     longest = F.max(F.struct((F.col("stop") - F.col("start")).alias("n"), "o1", "o2"))
     return cut.groupBy("c1", "c2", "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), longest.alias("o")).select(
         "c1", "c2", "start", "stop", F.col("o.o1").alias("o1"), F.col("o.o2").alias("o2"))
@@ -296,8 +304,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     positions are kept. Those whose first words occur in two texts are sorted by the words after them, compared with the
     neighbours in that order and extended right and left (with many suffixes around, also in the order of the words before); suffixes are at most ``least`` words apart inside a match, so that
     the extensions of one reach those of the next and together give the whole passage. Where a suffix has more suffixes around
-    than it was compared with, and no match, all windows that hold it are compared by hash. Passages that a document
-    only shares with itself are not reported.
+    than it was compared with, all windows that it is kept for are compared by hash, whether it has a match or not. Passages that a
+    document only shares with itself are not reported.
 
     Null, empty and short texts have no passage. Rows with the same id count as different documents (null ids too);
     repeated rows are copies of each other. An empty table gives no rows.
@@ -323,12 +331,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     wide = suffixes.groupBy("key").count().where(F.col("count") > NEIGHBOURS + 1).select("key")
     wide = materialize(wide, "wide")
     many = suffixes.join(wide, "key", "left_semi")
-    matches = materialize(all_matches(suffixes, least, "right", "left").union(all_matches(many, least, "left", "right")), "matches")
-    found_for = matches.where("start >= 0").select("key", "c1", "c2").distinct()
-    lost = matches.where("start < 0").join(found_for, ["key", "c1", "c2"], "left_anti").select("key").distinct().join(wide, "key", "left_semi")
-    windows = repeated_windows(suffixes.join(lost, "key", "left_semi"), least)
+    near, turned = suffixes.select(SUFFIX), many.select(SUFFIX)
+    matches = materialize(all_matches(near, least, "right", "left").union(all_matches(turned, least, "left", "right")), "matches")
+    windows = repeated_windows(many, least)
     ends_ = ["c1", "c2", "start", "stop", "o1", "o2"]
-    spans = merged(matches.where("start >= 0").select(ends_).union(windows.select(ends_)))
+    spans = merged(matches.select(ends_).distinct().union(windows.select(ends_)))
 
     others = classes.select(F.col("c1").alias("o1"), F.col("c2").alias("o2"), F.col("low").alias("other_id"))
     once = (spans.join(classes.select("c1", "c2", "copies"), ["c1", "c2"]).where("copies = 1").join(others, ["o1", "o2"])

@@ -183,6 +183,31 @@ def test_a_text_that_repeats_a_prefix_does_not_part_two_others(spark):
     assert collections.Counter((r.doc_id, r.start_word, r.n_words) for r in got) == spans(rows, 50)
 
 
+def test_a_match_elsewhere_does_not_hide_a_distant_one(spark):
+    """Texts around a notice that all have some match under its suffix, in which two share another window far apart in both orders."""
+    import random
+    rnd = random.Random(6)
+    rows, n = [], 0
+
+    def add(*parts):
+        nonlocal n
+        n += 1
+        rows.append((n, " ".join([prose(rnd, 12), *parts, prose(rnd, 12)]), "en", "a", 1))
+    for _ in range(8):
+        notice, before, after = prose(rnd, 40), prose(rnd, 5), prose(rnd, 5)
+        for _ in range(15):
+            own = prose(rnd, 5)
+            for _ in range(2):
+                add(own, notice, after)
+                add(before, notice, own)
+        for _ in range(2):
+            own = prose(rnd, 10)
+            add(notice, own)
+            add(before, notice, after, prose(rnd, 12), notice, own)
+    got = suffixes.repeated_passages(table(spark, rows, clashing=False)).collect()
+    assert collections.Counter((r.doc_id, r.start_word, r.n_words) for r in got) == spans(rows, 50)
+
+
 @pytest.mark.parametrize("job", [exact.exact_groups, exact.drop_copies, jaccard.link_documents, jaccard.drop_near_copies,
                                  suffixes.repeated_passages])
 def test_an_empty_table_gives_no_rows(spark, job):
