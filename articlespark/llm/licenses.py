@@ -31,13 +31,14 @@ THRESHOLD = 0.8
 BLOCK = 4
 # One row per band. Bands are read block by block: a template's smallest shingle under a band's order is also the smallest of
 # the block that holds it with a chance of at least 1/4, and a match of 0.8 holds it with a chance of 0.8, so that a
-# band agrees with at least 0.2 and 64 bands miss a match with a chance of less than 1 in a million.
+# band agrees with at least 0.2 and 64 bands miss a match with a chance of less than 1 in a million. This needs orders in which
+# every shingle is as likely to come first: those of a hash of shingle and seed, not of the shingle with some bits flipped.
 BANDS = 64
 
 
 def seeds() -> list[int]:
     draw = random.Random(20)
-    return [draw.getrandbits(63) for _ in range(BANDS)]
+    return [draw.getrandbits(64) - 2**63 for _ in range(BANDS)]
 
 
 def words_of(text: Column) -> Column:
@@ -64,16 +65,16 @@ def shingle_hashes(hashes: Column) -> Column:
 
 
 def smallest(shingles: Column, seed: int) -> Column:
-    return F.array_min(F.transform(shingles, lambda x: x.bitwiseXOR(F.lit(seed))))
+    return F.array_min(F.transform(shingles, lambda x: F.xxhash64(x.bitwiseXOR(F.lit(seed)))))
 
 
 def template_table(spark: SparkSession, templates: Mapping[str, str]) -> DataFrame:
-    """(license, parts, m, blocks, signature, keys): the distinct shingles of each template and its band values."""
+    """(license, parts, codes, m, blocks, signature): the distinct shingles of each template and its band values."""
     rows = spark.createDataFrame(list(templates.items()), "license string, text string")
     rows = once(rows, "words", words_of(F.col("text")))
     rows = once(rows, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
     rows = once(rows, "codes", F.array_distinct(shingle_hashes(F.col("hashes"))))
-    return rows.select("license", F.array_distinct(shingles_of(F.col("words"))).alias("parts"), F.size("codes").alias("m"),
+    return rows.select("license", F.array_distinct(shingles_of(F.col("words"))).alias("parts"), "codes", F.size("codes").alias("m"),
                        (F.ceil(F.size("codes") / BLOCK) + 1).cast("int").alias("blocks"),
                        F.array(*[smallest(F.col("codes"), s) for s in seeds()]).alias("signature"))
 
@@ -95,8 +96,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     if any(not t["m"] for t in listed):
         raise ValueError(f"a template needs {SHINGLE} words")
     keys = F.lit(sorted({v for t in listed for v in t["signature"]}))
-    # undoing a band's order gives the shingle that a window has to hold to agree in it
-    needed = F.lit(sorted({v ^ s for t in listed for v, s in zip(t["signature"], seeds(), strict=True)}))
+    # a window that agrees in a band holds a shingle of the template
+    needed = F.lit(sorted({c for t in listed for c in t["codes"]}))
 
     read = once(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "words", words_of(F.col("text"))).drop("text")
     read = once(read, "hashes", F.transform("words", lambda w: F.xxhash64(w)))

@@ -154,6 +154,15 @@ def test_licenses_are_found_where_most_of_a_template_stands(spark):
     assert all(0.8 <= r.containment <= 1 for r in got)
 
 
+def test_short_templates_are_found_at_every_place_of_a_block(spark):
+    rnd = random.Random(12)
+    lines = ["All rights reserved, no copying.", "Distributed under the Boost License.", "Licensed under the Artistic License.",
+             "Released into the public domain.", "Subject to the Mozilla License.", "Covered by the Eclipse License."]
+    rows = [(100 * n + k, f"{prose(rnd, k + 8)} {line} {prose(rnd, 10)}", "en", "a", 1) for n, line in enumerate(lines) for k in range(8)]
+    got = licenses.scan(table(spark, rows), templates={str(n): line for n, line in enumerate(lines)}).collect()
+    assert {(r.doc_id, r.license) for r in got} == {(r[0], str(r[0] // 100)) for r in rows}
+
+
 def test_license_scan_of_odd_documents(spark):
     line = licenses.TEMPLATES["mit"]
     rows = odd_rows() + [(700, line, None, None, None), (701, line, None, None, None), (701, line, None, None, None), (None, line, None, None, None),
