@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, small
 from .common import sums_before
 from .graph import components
 
@@ -17,6 +17,7 @@ from .graph import components
 NEIGHBOURS = 8
 # Orders by sign codes that start the graph, vectors next to each other in one that are compared, and vectors per code.
 ORDERS, NEXT, PER_CODE = 10, 8, 8
+MOST_BITS = 40
 # Refinement ends when a round adds less than this share of links, or after so many; attempts widen the start.
 LEAST_GAIN, ROUNDS, ATTEMPTS = 0.01, 6, 3
 # Vectors compared with all others to audit the recall, and the recall below which the start is widened.
@@ -48,21 +49,29 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def sign_codes(vectors: DataFrame, orders: int, bits: int, seed: int) -> DataFrame:
-    """Each vector once per order with the code of its sides of ``bits`` random planes."""
+def code_bits(count: Column) -> Column:
+    """Planes that leave some PER_CODE of ``count`` vectors to a code."""
+    return F.least(F.lit(MOST_BITS), F.greatest(F.lit(2), F.round(F.log2(count / PER_CODE + 1)))).cast("int")
+
+
+def sign_codes(vectors: DataFrame, orders: int, seed: int) -> DataFrame:
+    """Each vector once per order with the code of its sides of as many random planes as its ``bits``."""
     def coded(batches):
         for batch in batches:
             for rows, units in by_width(batch, 2):
                 some = batch.take(pa.array(rows))
-                planes = np.random.default_rng([seed, units.shape[1]]).standard_normal((orders, units.shape[1], bits))
-                weights = 1 << np.arange(bits, dtype=np.int64)
+                bits = some.column(3).to_numpy()
+                most = int(bits.max())
+                weights = 1 << np.arange(most, dtype=np.int64)
                 for order in range(orders):
-                    codes = ((units @ planes[order]) > 0) @ weights
+                    # drawn plane by plane, so that a vector's first planes are the same in every batch
+                    planes = np.random.default_rng([seed, units.shape[1], order]).standard_normal((most, units.shape[1])).T
+                    codes = (((units @ planes) > 0) @ weights) & ((1 << bits.astype(np.int64)) - 1)
                     yield pa.RecordBatch.from_arrays(
                         [some.column(0), some.column(1), some.column(2), pa.array(np.full(len(rows), order), pa.int32()),
                          pa.array(codes, pa.int64())], ["node", "label", "vector", "way", "code"])
 
-    return vectors.select("node", "label", "vector").mapInArrow(
+    return vectors.select("node", "label", "vector", "bits").mapInArrow(
         coded, "node long, label long, vector array<double>, way int, code long")
 
 
@@ -135,8 +144,11 @@ def through_neighbours(graph: DataFrame, vectors: DataFrame, threshold: float) -
             yield from groups(held)
 
     def groups(rows):
-        w, node = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-        units = matrix(rows.column(2))
+        # all of a group have one width, a batch may hold groups of several
+        for own, units in by_width(rows, 2):
+            yield from of_width(rows.column(0).to_numpy()[own], rows.column(1).to_numpy()[own], units)
+
+    def of_width(w, node, units):
         found = []
         for step in range(1, 2 * NEIGHBOURS + 1):
             at = np.flatnonzero(w[step:] == w[:-step]) if step < len(w) else np.empty(0, int)
@@ -161,9 +173,9 @@ def through_neighbours(graph: DataFrame, vectors: DataFrame, threshold: float) -
     return placed.mapInArrow(compared, "u long, v long, cosine double")
 
 
-def neighbour_graph(vectors: DataFrame, threshold: float, orders: int, bits: int, seed: int) -> DataFrame:
+def neighbour_graph(vectors: DataFrame, threshold: float, orders: int, seed: int) -> DataFrame:
     """(u, v): the links found, after refinement."""
-    start = materialize(adjacent(sign_codes(vectors, orders, bits, seed), threshold), "adjacent")
+    start = materialize(adjacent(sign_codes(vectors, orders, seed), threshold), "adjacent")
     links = start.where(F.col("cosine") >= threshold).select("u", "v").distinct()
     graph, links = materialize(nearest(start), "graph"), materialize(links, "links")
     count = links.count()
@@ -204,7 +216,7 @@ def audit(vectors: DataFrame, groups: DataFrame, threshold: float) -> float:
     return sums[1] / sums[0] if sums[0] else 1.0
 
 
-def regions(vectors: DataFrame, groups: DataFrame, threshold: float, bits: int, seed: int) -> DataFrame:
+def regions(vectors: DataFrame, groups: DataFrame, threshold: float, seed: int) -> DataFrame:
     """(node, links): the lists enlarged to the whole region that a vector is joined with, as sizes.
 
     Each component is cut into blocks of vectors with like sign codes. Two blocks whose centres and radii keep all
@@ -212,9 +224,9 @@ def regions(vectors: DataFrame, groups: DataFrame, threshold: float, bits: int,
     as matrices, and of every pair of blocks only counts per vector go on.
     """
     joined = vectors.join(groups, "node").withColumn("copies", F.col("copies").cast("long"))
-    coded = sign_codes(joined.select("node", F.col("label").cast("long").alias("label"), "vector"), 1, bits, seed + 1)
-    members = materialize(joined.select("node", "copies", "component").join(coded.select("node", "vector", "code"), "node"), "members")
-    ranked = sums_before(members.select("node", "component", "code", F.lit(1).alias("one"), F.shiftright("code", max(0, bits - 8)).alias("run")),
+    coded = sign_codes(joined.select("node", F.col("label").cast("long").alias("label"), "vector", "bits"), 1, seed + 1)
+    members = materialize(joined.select("node", "copies", "component", "bits").join(coded.select("node", "vector", "code"), "node"), "members")
+    ranked = sums_before(members.select("node", "component", "code", F.lit(1).alias("one"), F.expr("shiftright(code, greatest(0, bits - 8))").alias("run")),
                          ["component"], "run", ["code", "node"], "one", "rank")
     placed = members.join(ranked.select("node", F.floor(F.col("rank") / BLOCK).alias("block")), "node")
 
@@ -315,16 +327,18 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     nodes = materialize(rows.where("name IS NOT NULL").groupBy("name").agg(
         F.first("label").alias("label"), F.first("vector").alias("vector"), F.count("*").alias("copies"), F.min("id").alias("id"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
-    bits = min(40, max(2, round(math.log2(largest / PER_CODE + 1))))
+    # a large label does not make the codes of a small one finer
+    nodes = nodes.withColumn("width", F.size("vector"))
+    sizes = nodes.groupBy("label", "width").count().select("label", "width", code_bits(F.col("count")).alias("bits"))
+    nodes = materialize(nodes.join(small(sizes), ["label", "width"]).drop("width"), "coded")
     orders = ORDERS
     for attempt in range(ATTEMPTS):
-        links = neighbour_graph(nodes, threshold, orders, bits, seed + attempt)
+        links = neighbour_graph(nodes, threshold, orders, seed + attempt)
         groups = materialize(components(links), "groups")
         if audit(nodes, groups, threshold) >= LEAST_RECALL:
             break
         orders *= 2
-    counted = regions(nodes, groups, threshold, bits, seed)
+    counted = regions(nodes, groups, threshold, seed)
     known = nodes.select("name", "id", "node", "copies").join(groups, "node", "left").join(counted, "node", "left")
     known = known.withColumn("component", F.coalesce("component", "node"))
     named = known.groupBy("component").agg(F.min("id").alias("component_id"))

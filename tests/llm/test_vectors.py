@@ -82,6 +82,18 @@ def test_a_poor_start_is_widened(spark, monkeypatch):
     assert sum(a == b for a, b in zip(got, want, strict=True)) >= 0.9 * len(want)
 
 
+def test_a_large_label_does_not_make_the_codes_of_a_small_one_finer(spark, monkeypatch):
+    seen = []
+    sign_codes = neighbours.sign_codes
+    monkeypatch.setattr(neighbours, "sign_codes", lambda *a: seen.append(sign_codes(*a)) or seen[-1])
+    monkeypatch.setattr(neighbours, "ATTEMPTS", 1)
+    rnd = np.random.default_rng(3)
+    rows = [(n, rnd.standard_normal(8).tolist(), int(n < 4000), "x", 1, 2, 3) for n in range(4040)]
+    neighbours.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    most = {r.label: r.most for r in seen[0].groupBy("label").agg({"code": "max"}).toDF("label", "most").collect()}
+    assert most[0] < 8 and most[1] >= 256
+
+
 def test_an_empty_table_gives_no_rows(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
