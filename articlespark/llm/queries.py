@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, quality, suffixes, urls
+from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, quality, sharding, suffixes, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,46 @@ def op9_url_filter(spark, sf_dir):
 @query("op10_licenses")
 def op10_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+# fixed value: the reversed polynomial of the checksum, as its table over all bytes
+_CRC_SQL = """
+crc_table AS (SELECT list(list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, _:
+                          xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)) ORDER BY b) AS t FROM range(256) r(b))"""
+
+
+def crc_sql(blob: str) -> str:
+    """The checksum of the bytes of a blob; needs the table."""
+    return f"""xor(list_reduce(list_prepend(4294967295, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex({blob}), '..')]),
+      lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295)"""
+
+
+SHARDS = 8
+
+
+def _place_sql(shards: int, name: str) -> str:
+    """CTEs that walk the tree of ``shards`` shards; the last one, ``name``, is (r, shard)."""
+    def level(out, before, column, parent, children):
+        rows = ", ".join(f"({p}, {n}, {w}::DOUBLE)" for p, ws in children.items() for n, w in ws.items())
+        draw = f"('0x' || substr(md5('{column}' || n || ':' || k), 1, 13))::BIGINT"
+        return f"""{out}_w(p, n, w) AS (VALUES {rows}),
+{out} AS (SELECT r, k, arg_min(n, -ln(({draw} + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / w) AS {column}
+  FROM {before} JOIN {out}_w ON p = {parent} GROUP BY r, k)"""
+    regions, racks, leaves = sharding._children(sharding.even_tree(shards))
+    return ",\n".join([level(f"{name}1", "d", "region", "0", {0: regions}), level(f"{name}2", f"{name}1", "rack", "region", racks),
+                       level(name, f"{name}2", "shard", "rack", leaves)])
+
+
+@query("op12_shards", f"""
+WITH {_CRC_SQL.strip()},
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(doc_id::VARCHAR, '') AS k FROM documents),
+{_place_sql(SHARDS, "s")},
+{_place_sql(SHARDS + 1, "g")},
+c AS (SELECT r, doc_id, k, strlen(text) + 1 AS size, {crc_sql("encode(text)")} AS crc FROM d, crc_table)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'key' AS law, s.shard,
+       row_number() OVER (PARTITION BY s.shard ORDER BY CASE WHEN doc_id IS NULL THEN md5(crc || ':' || size) ELSE md5('slot:' || c.k) END,
+                          md5('slot:' || c.k), crc, size) - 1 AS slot, g.shard AS grown_shard
+FROM c JOIN s USING (r) JOIN g USING (r)""")
+def op12_shards(spark, sf_dir):
+    placed = sharding.assign(table(spark, sf_dir, "documents"), sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
