@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, quality, sharding, suffixes, urls
+from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, prefix_trie, quality, sharding, suffixes, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,18 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# fixed value: the reversed polynomial of the checksum, as its table over all bytes
+_CRC_SQL = """
+crc_table AS (SELECT list(list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, _:
+                          xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)) ORDER BY b) AS t FROM range(256) r(b))"""
+
+
+def crc_sql(blob: str) -> str:
+    """The checksum of the bytes of a blob; needs the table."""
+    return f"""xor(list_reduce(list_prepend(4294967295, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex({blob}), '..')]),
+      lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295)"""
+
+
 # fixed values of the mix: weights by source, share of all words, most repeats
 MIX_WEIGHTS, MIX_BUDGET, MIX_REPEATS = (3.0, 1.0, 2.0), 1.5, 2
 
@@ -147,18 +159,6 @@ def op10_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-# fixed value: the reversed polynomial of the checksum, as its table over all bytes
-_CRC_SQL = """
-crc_table AS (SELECT list(list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, _:
-                          xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)) ORDER BY b) AS t FROM range(256) r(b))"""
-
-
-def crc_sql(blob: str) -> str:
-    """The checksum of the bytes of a blob; needs the table."""
-    return f"""xor(list_reduce(list_prepend(4294967295, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex({blob}), '..')]),
-      lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295)"""
-
-
 SHARDS = 8
 
 
@@ -188,3 +188,28 @@ FROM c JOIN s USING (r) JOIN g USING (r)""")
 def op12_shards(spark, sf_dir):
     placed = sharding.assign(table(spark, sf_dir, "documents"), sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+# fixed values: conversations of a family share the family's first turns, as many as a checksum modulo HEADS says
+FAMILY, HEADS = 100, 6
+
+
+@query("op11_prefix_trie", f"""
+WITH {_CRC_SQL.strip()},
+t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || x)) AS s FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, s, {crc_sql("encode(conv_id::VARCHAR)")} % {HEADS} AS h FROM o, crc_table),
+b AS (SELECT h.conv_id, list_concat(coalesce(o.s[1:h.h], []), h.s[h.h + 1:]) AS s
+      FROM h LEFT JOIN o ON o.conv_id = h.conv_id - h.conv_id % {FAMILY}),
+p AS (SELECT conv_id, len(s) AS n, d, s[1:d] AS k FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM b)),
+n AS (SELECT d, k, min(conv_id) AS c, count(*) AS n, coalesce(length(k[d].x), 0) AS chars,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS e FROM p GROUP BY d, k),
+l AS (SELECT n.*, u.c AS parent FROM n LEFT JOIN n u ON u.d = n.d - 1 AND u.k = n.k[1:n.d - 1]),
+m AS (SELECT n.d, n.k, count(u.c) AS children FROM n LEFT JOIN n u ON u.d = n.d + 1 AND u.k[1:n.d] = n.k GROUP BY n.d, n.k),
+a AS (SELECT k[1:d0] AS k, sum((n - 1) * chars) AS saved, count(*) FILTER (children = 0) AS leaves
+      FROM (SELECT n.*, m.children, unnest(range(n.d + 1)) AS d0 FROM n JOIN m ON n.d = m.d AND n.k = m.k) GROUP BY 1)
+SELECT l.c AS conv_id, l.d::BIGINT AS depth, l.parent AS parent_conv_id, l.n AS n_convs, m.children AS n_children, a.leaves AS n_leaves,
+       a.saved::BIGINT AS saved_tokens, l.e AS ends_sha256 FROM l JOIN m ON l.d = m.d AND l.k = m.k JOIN a ON a.k = l.k""")
+def op11_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.digested(table(spark, sf_dir, "conversations"))
+    return prefix_trie.build(prefix_trie.spliced(turns, FAMILY, HEADS))
