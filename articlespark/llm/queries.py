@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
-from . import chat, exact, jaccard, licenses, mixing, neighbours, packing, prefix_trie, quality, sharding, suffixes, urls
+from . import chat, exact, jaccard, lexical, licenses, mixing, neighbours, packing, prefix_trie, quality, sharding, suffixes, urls
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,21 @@ SELECT l.c AS conv_id, l.d::BIGINT AS depth, l.parent AS parent_conv_id, l.n AS
 def op11_prefix_trie(spark, sf_dir):
     turns = prefix_trie.digested(table(spark, sf_dir, "conversations"))
     return prefix_trie.build(prefix_trie.spliced(turns, FAMILY, HEADS))
+
+
+@query("op13_search", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+q AS (SELECT i, item_id, t, count(*) AS q FROM i GROUP BY ALL),
+c AS (SELECT count(*) FILTER (len(t) > 0) AS n, sum(len(t))::BIGINT AS l FROM d),
+f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(t) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, c GROUP BY t, n),
+m AS (SELECT r, doc_id, 25 + (75 * len(t) * n) // l AS m FROM d, c WHERE l > 0),
+s AS (SELECT i, item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY i, item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 10""")
+def op13_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
