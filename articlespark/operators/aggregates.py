@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,11 @@ from pyspark.sql import functions as F
 from ..functions import measures as ms
 
 MAP_KEYS = ["year", "month", "day", "date", "state", "country", "continent", "subcontinent"]
+MAP_LEVELS = {
+    "day": MAP_KEYS,
+    "state": ["year", "month", "state", "country", "continent", "subcontinent"],
+    "country": ["year", "month", "country", "continent", "subcontinent"],
+}
 DASHBOARD_MEASURES = {
     "overall_polarity_value": "overall_polarity",
     "overall_subjectivity_value": "overall_subjectivity",
@@ -62,6 +69,23 @@ def map_counts(df: DataFrame, keys: Sequence[str] = tuple(MAP_KEYS), real_label:
             .agg(count_if(dubious).alias("fake_count"), count_if(real).alias("real_count")))
 
 
+def map_counts_levels(df: DataFrame, levels: Mapping[str, Sequence[str]] = MAP_LEVELS, real_label: int = 1) -> DataFrame:
+    """``map_counts`` by several lists of keys in one aggregate: (level, keys, counts), keys a level does not have are null.
+
+    Every row is counted once per level before the only shuffle."""
+    columns = list(dict.fromkeys(c for keys in levels.values() for c in keys))
+    # the grouping id has a bit per column, the first one highest, set where the column is not grouped by
+    ids = {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys) for name, keys in levels.items()}
+    if len(set(ids.values())) < len(ids):
+        raise ValueError("two levels have the same keys")
+    real, dubious = F.col("label") == real_label, F.col("label") == 1 - real_label
+    counted = (df.filter(real | dubious).groupingSets([[F.col(c) for c in keys] for keys in levels.values()], *[F.col(c) for c in columns])
+               .agg(F.grouping_id().alias("_level"), count_if(dubious).alias("fake_count"), count_if(real).alias("real_count")))
+    whole = reduce(or_, [(F.col("_level") == ids[name]) & reduce(and_, [F.col(c).isNotNull() for c in keys]) for name, keys in levels.items()])
+    name = F.coalesce(*[F.when(F.col("_level") == i, F.lit(n)) for n, i in ids.items()])
+    return counted.filter(whole).select(name.alias("level"), *columns, "fake_count", "real_count")
+
+
 def dashboard_measures(df: DataFrame, empty_list_is_one: bool = False) -> DataFrame:
     """Rounded measures the dashboard groups by."""
     return df.withColumns({

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .aggregates import count_by, map_counts, with_share
 from .ngrams import histogram
-from .ordering import exact_quantiles
+from .ordering import SKETCH_ACCURACY, exact_quantiles
 from .rows import filter_date_range, filter_from_date
 
 BOX_PROBS = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -25,10 +25,28 @@ def scatter(df: DataFrame, x: str, y: str, label: str = "label", date_col: str |
     return df.select(*keep, F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("label"))
 
 
-def box(df: DataFrame, value: str, by: str = "label") -> DataFrame:
-    """Five-number summary per class, exact."""
-    q = exact_quantiles(df, by, value, BOX_PROBS)
+def scatter_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], label: str = "label", date_col: str | None = None,
+                  start: date | None = None, end: date | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Points of several pairs of measures from one pass, under the name of the first measure as ``pair``."""
+    if date_col:
+        df = filter_date_range(df, date_col, start, end)
+    points = F.array(*[F.struct(F.lit(x).alias("pair"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) for x, y in pairs])
+    return df.select(*keep, F.explode(points).alias("_p"), F.col(label).alias("label")).select("_p.pair", *keep, "_p.x", "_p.y", "label")
+
+
+def box(df: DataFrame, value: str, by: str = "label", approximate: bool = False, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Five-number summary per class.
+
+    Exact, by sorting the distinct values; or ``approximate``, by sketches that are merged in one aggregate: then each quartile is
+    a value of the data whose rank is off by no more than the class's rows divided by ``accuracy``."""
     names = ["low", "q1", "median", "q3", "high"]
+    if approximate:
+        given = df.dropna(subset=[by, value])
+        quarters = F.percentile_approx(value, list(BOX_PROBS[1:-1]), accuracy)
+        row = given.groupBy(by).agg(F.count("*").alias("n_rows"), F.min(value).alias("low"), quarters.alias("_q"), F.max(value).alias("high"))
+        return row.select(by, "n_rows", F.col("low").cast("double").alias("low"),
+                          *[F.get("_q", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names[1:-1])], F.col("high").cast("double").alias("high"))
+    q = exact_quantiles(df, by, value, BOX_PROBS)
     return q.select(by, "n_rows", *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
 
 

@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import accumulate
 from math import inf, log
 
 from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import small
+from ..runtime import materialize, small
+from .comoments import co_moments, correlations
 from .ordering import dense_ids
+from .vectors import as_vectors, coordinates, sparse
 
 MIN_VARIANCE = 0.01
 MAX_CORRELATION = 0.9
+#: Values that get a column each.
+MAX_COLUMNS = 1_000
 
 
 def number(name: str) -> Column:
@@ -100,15 +106,18 @@ def onehot_vector(df: DataFrame, col: str, codes: DataFrame, name: str | None =
     return encoder.transform(coded.withColumn("_index", other)).drop("_index")
 
 
-def categories(df: DataFrame, col: str) -> list[str]:
-    """Sorted values of a column that gets a column per value, whose names have to be known in the
-    driver; ``onehot_vector`` does without them."""
-    rows = df.select(F.col(col).cast("string").alias("v")).dropna().distinct().collect()
+def categories(df: DataFrame, col: str, most: int = MAX_COLUMNS) -> list[str]:
+    """Sorted values of a column that gets a column per value, whose names have to be known in the driver; an
+    error beyond ``most``, where ``FeatureModel`` and ``onehot_vector`` do without them."""
+    rows = df.select(F.col(col).cast("string").alias("v")).dropna().distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{col} has more than {most} values; use a vector")
     return sorted(r["v"] for r in rows)
 
 
 def onehot_columns(col: str, values: Sequence[str]) -> dict[str, Column]:
-    """``col_value`` columns; unknown values and nulls are all zeros."""
+    """``col_value`` columns for given values; unknown values and nulls are all zeros. ``FeatureModel`` makes a
+    vector of a column of any number of values."""
     c = F.col(col).cast("string")
     return {f"{col}_{v}": F.coalesce((c == F.lit(v)).cast("double"), F.lit(0.0)) for v in values}
 
@@ -131,43 +140,76 @@ def route_columns(df: DataFrame, exclude: Sequence[str], high_cardinality: Seque
 
 @dataclass
 class FeatureModel:
-    """Fitted column transformer. Rows keep their id and label; nothing is aligned by position."""
+    """Fitted column transformer. Rows keep their id and label; nothing is aligned by position.
 
-    scale: Mapping[str, tuple[float, float]]
+    Columns with a coordinate per value come first, then skewed, numeric and ordinal ones. The values are tables, so that a
+    column may have any number of them; the driver knows how many."""
+
+    onehot: Mapping[str, tuple[DataFrame, int]]
     power: Mapping[str, tuple[float, float, float]]
+    scale: Mapping[str, tuple[float, float]]
     codes: Mapping[str, DataFrame]
-    onehot: Mapping[str, Sequence[str]]
-    names: list[str] = field(default_factory=list)
-
-    def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        out = df
-        for col, table in self.codes.items():
-            out = encode_ordinal(out, col, table, name=f"_code_{col}")
-        exprs = {}
-        for col, values in self.onehot.items():
-            exprs.update(onehot_columns(col, values))
-        for col, (lam, mean, std) in self.power.items():
-            exprs[col] = standardize(yeo_johnson(F.col(col), lam), mean, std)
-        for col, (mean, std) in self.scale.items():
-            exprs[col] = standardize(F.col(col), mean, std)
-        for col in self.codes:
-            exprs[col] = F.col(f"_code_{col}")
-        return out.select(*keep, *[e.alias(n) for n, e in exprs.items()])
+
+    @property
+    def first(self) -> dict[str, int]:
+        """Each column's first coordinate."""
+        widths = {c: n for c, (_, n) in self.onehot.items()} | dict.fromkeys([*self.power, *self.scale, *self.codes], 1)
+        return dict(zip(widths, accumulate([0, *widths.values()])))
+
+    @property
+    def size(self) -> int:
+        return sum(n for _, n in self.onehot.values()) + len(self.power) + len(self.scale) + len(self.codes)
+
+    def transform(self, df: DataFrame, keep: Sequence[str], out: str = "features") -> DataFrame:
+        """``keep`` and a sparse vector. A null or unknown value has no coordinate among its column's values and code -1 as an
+        ordinal; a missing number is NaN."""
+        first, used = self.first, [*self.onehot, *self.power, *self.scale, *self.codes]
+        rows = df.select(F.struct(*keep).alias("_keep"), *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(used)])
+        place = {c: f"_in{i}" for i, c in enumerate(used)}
+        entries = []
+        for c, (codes, _) in self.onehot.items():
+            rows = encode_ordinal(rows.withColumn(place[c], F.col(place[c]).cast("string")), place[c], codes, f"_one{place[c]}")
+            code = F.col(f"_one{place[c]}")
+            entries.append((code.cast("long") + first[c], F.when(code >= 0, F.lit(1.0))))
+        for c, (lam, mean, std) in self.power.items():
+            entries.append((F.lit(first[c]), standardize(yeo_johnson(F.col(place[c]), lam), mean, std)))
+        for c, (mean, std) in self.scale.items():
+            entries.append((F.lit(first[c]), standardize(F.col(place[c]), mean, std)))
+        for c, codes in self.codes.items():
+            rows = encode_ordinal(rows, place[c], codes, f"_code{place[c]}")
+            entries.append((F.lit(first[c]), F.col(f"_code{place[c]}")))
+        missing = F.lit(float("nan"))
+        array = F.array(*[F.struct(i.cast("long").alias("index"), (v if n < len(self.onehot) else F.coalesce(v, missing)).alias("value"))
+                          for n, (i, v) in enumerate(entries)])
+        return as_vectors(rows.select("_keep.*", sparse(array, self.size).alias(out)), out)
+
+    def names(self, spark: SparkSession) -> DataFrame:
+        """(index, feature): ``col_value`` for the values of a column, else the column's name."""
+        first = self.first
+        single = [(first[c], c) for c in [*self.power, *self.scale, *self.codes]]
+        out = spark.createDataFrame(single, "index long, feature string")
+        for c, (codes, _) in self.onehot.items():
+            out = out.unionByName(codes.select((F.col("code") + first[c]).alias("index"), F.concat(F.lit(f"{c}_"), "value").alias("feature")))
+        return out
 
 
 def fit_features(df: DataFrame, onehot: Sequence[str] = (), skewed: Sequence[str] = (),
                  numeric: Sequence[str] = (), ordinal: Sequence[str] = ()) -> FeatureModel:
-    """Column order of the result: one-hot, skewed, numeric, ordinal."""
+    """Fit every column; one may be used in a single way only."""
+    if len({*onehot, *skewed, *numeric, *ordinal}) < len([*onehot, *skewed, *numeric, *ordinal]):
+        raise ValueError("a column is given twice")
     lambdas = {c: fit_yeo_johnson(df, c) for c in skewed}
     power = {}
     if lambdas:
         moved = df.select(*[yeo_johnson(F.col(c), lam).alias(c) for c, lam in lambdas.items()])
         moments = fit_scale(moved, list(lambdas))
         power = {c: (lambdas[c], *moments[c]) for c in lambdas}
-    values = {c: categories(df, c) for c in onehot}
-    names = [f"{c}_{v}" for c in onehot for v in values[c]] + [*skewed, *numeric, *ordinal]
-    return FeatureModel(fit_scale(df, numeric) if numeric else {}, power,
-                        {c: ordinal_codes(df, c) for c in ordinal}, values, names)
+    values = {}
+    for c in onehot:
+        codes = materialize(ordinal_codes(df.select(F.col(f"`{c}`").cast("string").alias("_value")), "_value"), "values")
+        values[c] = codes, codes.count()
+    codes = {c: materialize(ordinal_codes(df, c), "codes") for c in ordinal}
+    return FeatureModel(values, power, fit_scale(df, numeric) if numeric else {}, codes)
 
 
 def target_correlation(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
@@ -182,20 +224,42 @@ def variance_filter(df: DataFrame, features: Sequence[str], threshold: float = M
     return _pairs(row, features, "variance").withColumn("kept", F.col("variance") > F.lit(threshold))
 
 
+def vector_variances(vectors: DataFrame, model: FeatureModel, threshold: float = MIN_VARIANCE) -> DataFrame:
+    """(index, feature, variance, varied): population variance of every coordinate of ``FeatureModel`` vectors and whether it is above
+    the threshold. Only stored coordinates are read and their sums shuffled; a missing number does not count."""
+    spark = vectors.sparkSession
+    n = vectors.count()
+    value = F.nanvl("value", F.lit(None).cast("double"))
+    sums = coordinates(vectors.select("features"), "features", []).groupBy("index").agg(
+        F.sum(value).alias("s"), F.sum(value * value).alias("q"), F.sum(F.isnan("value").cast("int")).alias("missing"))
+    rows = F.lit(n) - F.coalesce("missing", F.lit(0))
+    mean = F.coalesce("s", F.lit(0.0)) / rows
+    variance = F.greatest(F.coalesce("q", F.lit(0.0)) / rows - mean * mean, F.lit(0.0))
+    out = model.names(spark).join(sums, "index", "left").select("index", "feature", variance.alias("variance"))
+    return out.withColumn("varied", F.col("variance") > F.lit(threshold))
+
+
 def pair_correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Absolute correlation of every feature with each earlier one, from one aggregate."""
-    pairs = [(a, b) for j, b in enumerate(features) for a in features[:j]]
-    row = df.agg(*[F.corr(number(a), number(b)).alias(f"p{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    items = F.array(*[F.struct(F.lit(a).alias("earlier"), F.lit(b).alias("feature"),
-                               F.abs(F.col(f"p{i}")).alias("correlation")) for i, (a, b) in enumerate(pairs)])
-    return row.select(F.explode(items).alias("p")).select("p.*")
+    """(earlier, feature, correlation): absolute correlation of every feature with each earlier one, over the rows that have
+    both; null where one is constant. One pass over the rows, whatever the number of features."""
+    blocks = co_moments(df, F.array(*[number(c) for c in features]), len(features))
+    return correlations(blocks, features).select("earlier", "feature", F.abs("correlation").alias("correlation"))
+
+
+def vector_correlations(df: DataFrame, names: Sequence[str], vector: str = "features") -> DataFrame:
+    """The same for the coordinates of a vector column."""
+    blocks = co_moments(df, vector_to_array(vector), len(names))
+    return correlations(blocks, names).select("earlier", "feature", F.abs("correlation").alias("correlation"))
 
 
 def correlated_features(df: DataFrame, features: Sequence[str], threshold: float = MAX_CORRELATION) -> DataFrame:
     """Features that correlate above the threshold with an earlier one, and are to be dropped."""
-    return (pair_correlations(df, features).filter(F.col("correlation") > threshold)
-            .select("feature").distinct())
+    return too_close(pair_correlations(df, features), threshold)
+
+
+def too_close(pairs: DataFrame, threshold: float = MAX_CORRELATION) -> DataFrame:
+    """(feature): those of correlated pairs that have an earlier one above the threshold."""
+    return pairs.filter(F.col("correlation") > threshold).select("feature").distinct()
 
 
 def _pairs(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:

@@ -41,13 +41,18 @@ def lookup_left_mentions(places: DataFrame, mentions: DataFrame, key: str = "loc
     matching part is an inner join against the (size-checked) places; the unmatched places are
     found from the distinct mentioned keys alone.
     """
+    matched = mentioned_places(places, mentions, key)
     places = places.withColumn(key, F.lower(key)).dropna(subset=[key])
-    mentions = mentions.withColumn(key, F.lower(key)).dropna(subset=[key])
-    matched = mentions.join(small(places), key)
-    lonely = places.join(mentions.select(key).distinct(), key, "left_anti")
+    lonely = places.join(mentions.select(F.lower(key).alias(key)).distinct(), key, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
+def mentioned_places(places: DataFrame, mentions: DataFrame, key: str = "location") -> DataFrame:
+    """Mentions with the columns of their place, joined on the lower-cased key; null keys never match."""
+    places = places.withColumn(key, F.lower(key)).dropna(subset=[key])
+    return mentions.withColumn(key, F.lower(key)).join(small(places), key)
+
+
 def article_locations_join(articles: DataFrame, located: DataFrame) -> DataFrame:
     """Articles with one row per place; articles without a place stay."""
     return articles.join(located.dropna(subset=["article_id"]), "article_id", "left")
@@ -58,6 +63,28 @@ def outer_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], counts:
     return left.join(right, list(keys), "full_outer").fillna(0, subset=list(counts))
 
 
+def word_classes(words: DataFrame, one: int = 1, other: int = 0) -> DataFrame:
+    """(word, one, other): a word's counts in both classes, null in a class that does not have it, from (label, word, cnt).
+    Which class has a word is then a matter of its own row."""
+    return words.groupBy("word").agg(F.sum(F.when(F.col("label") == one, F.col("cnt"))).alias("one"),
+                                     F.sum(F.when(F.col("label") == other, F.col("cnt"))).alias("other"))
+
+
+def word_subsets(classes: DataFrame, only_one: str = "true_only", only_other: str = "false_only", common: str = "common") -> DataFrame:
+    """(subset, word, cnt): words that only one class has, and words of both with their total, from ``word_classes``."""
+    one, other = F.col("one"), F.col("other")
+    subset = F.when(other.isNull(), F.lit(only_one)).when(one.isNull(), F.lit(only_other)).otherwise(F.lit(common))
+    return (classes.where(one.isNotNull() | other.isNotNull())
+            .select(subset.alias("subset"), "word", (F.coalesce(one, F.lit(0)) + F.coalesce(other, F.lit(0))).alias("cnt")))
+
+
+def shared_words(classes: DataFrame, one: int = 1, other: int = 0) -> DataFrame:
+    """(label, word, cnt) of the words that both classes have, from ``word_classes``."""
+    counts = F.array(F.struct(F.lit(one).alias("label"), F.col("one").alias("cnt")), F.struct(F.lit(other).alias("label"), F.col("other").alias("cnt")))
+    return (classes.where(F.col("one").isNotNull() & F.col("other").isNotNull())
+            .select("word", F.explode(counts).alias("c")).select("c.label", "word", "c.cnt"))
+
+
 def words_in_both(words: DataFrame, one: int, other: int) -> DataFrame:
     """Counted words of class ``one`` that class ``other`` also has; ``words`` has (label, word, cnt)."""
     return (words.filter(F.col("label") == one)

@@ -134,8 +134,8 @@ def enrich_places(places: DataFrame, city: DataFrame, state: DataFrame, region:
 
     Tried in turn: city, US state or its capital, country name, two-letter code, three-letter
     code; the first hit decides and a miss leaves all columns null. Each lookup is reduced to one
-    row per key and its centroids are computed once, so the places are only probed against
-    broadcast tables.
+    row per key and its centroids are computed once; the lookups are merged and written as one table by name, which
+    is all that places are probed against.
     """
     c = F.col
     names = ["city", "state", "country", "subcontinent", "continent", "latitude", "longitude", "iso2", "iso3"]
@@ -172,7 +172,8 @@ def enrich_places(places: DataFrame, city: DataFrame, state: DataFrame, region:
                 priority, city=F.lit(COUNTRY_LEVEL), country=c("country"), subcontinent=c("subcontinent"),
                 continent=c("continent"), latitude=c("m_lat"), longitude=c("m_lng"), iso2=c("iso2"), iso3=c("iso3"))))
 
-    best = (reduce(DataFrame.unionByName, tables).groupBy("k").agg(F.min_by("hit", "priority").alias("_best")))
+    # one merged lookup, written once and measured from there
+    best = materialize(reduce(DataFrame.unionByName, tables).groupBy("k").agg(F.min_by("hit", "priority").alias("_best")), "lookup")
     keyed = places.withColumn("location", F.lower("location")).withColumn("k", c("location"))
     return keyed.join(small(best), "k", "left").select(*places.columns, "_best.*")
 

@@ -52,6 +52,17 @@ def report(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return c.select(*by, F.explode(lines).alias("r")).select(*by, "r.*")
 
 
+def summary(predictions: DataFrame) -> DataFrame:
+    """One row: accuracy and the weighted averages of precision, recall and F1."""
+    rows = report(predictions)
+
+    def of(kind: str, value: str, name: str) -> Column:
+        return F.max(F.when(F.col("class") == kind, F.col(value))).alias(name)
+
+    return rows.agg(of("accuracy", "precision", "accuracy"), of("weighted avg", "precision", "precision"),
+                    of("weighted avg", "recall", "recall"), of("weighted avg", "f1_score", "f1-score"))
+
+
 def mean_squared_error(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return (predictions.dropna(subset=["label", "prediction"]).groupBy(*by)
             .agg(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)).alias("mean_squared_error")))

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ..runtime import materialize, shuffle_width, small
 
 
+#: Quantile sketches keep ranks within the rows divided by this.
+SKETCH_ACCURACY = 10_000
+
+
 def running_total(df: DataFrame, order: Sequence[str], weight: Column, name: str = "before") -> DataFrame:
     """Add the summed weight of all rows that come strictly earlier in the order.
 

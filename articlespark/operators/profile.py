@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .aggregates import count_if
-from .ordering import exact_quantiles
+from .ordering import SKETCH_ACCURACY, exact_quantiles
 
 
 def _long(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
@@ -50,8 +50,21 @@ def duplicate_columns(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(repeated, "column string, occurrences int")
 
 
-def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per numeric column, exact."""
+def describe(df: DataFrame, cols: Sequence[str], approximate: bool = False, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """count, mean, std, min, quartiles and max per numeric column.
+
+    Exact quartiles sort the distinct values of all columns; ``approximate`` ones come from sketches in the same aggregate as
+    the rest, as values of the data whose ranks are off by no more than the count divided by ``accuracy``."""
+    if approximate:
+        def summary(c: str) -> Column:
+            v = F.col(c).cast("double")
+            v = F.when(~F.isnan(v), v)
+            q = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)
+            return F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), F.min(v).alias("min"), F.get(q, F.lit(0)).alias("p25"),
+                            F.get(q, F.lit(1)).alias("p50"), F.get(q, F.lit(2)).alias("p75"), F.max(v).alias("max"),
+                            F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
+        row = df.agg(*[summary(c).alias(f"_{i}") for i, c in enumerate(cols)])
+        return row.select(F.explode(F.array(*[f"_{i}" for i in range(len(cols))])).alias("p")).select("p.*").filter("count > 0")
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
     long = df.select(F.explode(pairs).alias("p")).select("p.*").dropna()
     moments = long.groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
@@ -69,3 +82,20 @@ def stage_counts(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
         passed = passed & condition
         aggs.append(count_if(passed).alias(name))
     return _long(df.agg(*aggs), list(steps), "rows_left").withColumnRenamed("column", "step")
+
+
+def watched(df: DataFrame, steps: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` unchanged, and what will hold ``stage_counts`` once a job has run over all of it: the counts are taken along the
+    way, without a pass of their own. See ``watched_counts``."""
+    seen = Observation()
+    passed, counts = F.lit(True), []
+    for i, condition in enumerate(steps.values()):
+        passed = passed & condition
+        counts.append(count_if(F.coalesce(passed, F.lit(False))).alias(f"s{i}"))
+    return df.observe(seen, *counts), seen
+
+
+def watched_counts(spark: SparkSession, seen: Observation, steps: Mapping[str, Column]) -> DataFrame:
+    """(step, rows_left) after the job; waits for it if it has not run."""
+    found = seen.get
+    return spark.createDataFrame([(name, int(found[f"s{i}"] or 0)) for i, name in enumerate(steps)], "step string, rows_left long")

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 
-# Display names and realness scores by label, cut-off dates and length caps.
-LABEL_NAMES = {0: "True News", 1: "Fake News"}
+# Display names and realness scores, cut-off dates and length caps.
+REAL_NAME, DUBIOUS_NAME = "True News", "Fake News"
 REALNESS = {0: 1, 1: 5}
 MAP_FROM = date(2014, 1, 1)
 DAILY_FROM = date(2015, 1, 1)
@@ -22,12 +22,14 @@ MAX_TITLE_LENGTH = 1000
 MAX_TEXT_LENGTH = 25000
 ID_OFFSET = 100_000
 
-NAMED_FILTERS = {
-    "locations_ftr": lambda: F.col("ignore") == 1,
-    "fake_news_ftr": lambda: F.col("label") == 1,
-    "true_news_ftr": lambda: F.col("label") == 0,
-    "validdates_ftr": lambda: F.col("date") > F.lit(VALID_FROM),
-}
+
+def label_names(real_label: int = 1) -> dict[int, str]:
+    return {real_label: REAL_NAME, 1 - real_label: DUBIOUS_NAME}
+
+
+def named_filters(real_label: int = 1) -> dict[str, Column]:
+    return {"locations_ftr": F.col("ignore") == 1, "fake_news_ftr": F.col("label") == 1 - real_label,
+            "true_news_ftr": F.col("label") == real_label, "validdates_ftr": F.col("date") > F.lit(VALID_FROM)}
 
 
 def tag_origin(df: DataFrame, file: str, label: int | None = None) -> DataFrame:
@@ -103,8 +105,14 @@ def remap(c: Column, table: Mapping) -> Column:
     return out
 
 
-def filter_named(df: DataFrame, name: str) -> DataFrame:
-    return df.filter(NAMED_FILTERS[name]())
+def filter_named(df: DataFrame, name: str, real_label: int = 1) -> DataFrame:
+    return df.filter(named_filters(real_label)[name])
+
+
+def matching_filters(df: DataFrame, keep: Sequence[str], real_label: int = 1, name: str = "filter") -> DataFrame:
+    """(``keep``, filter): a row per named filter that a row passes, all from one pass."""
+    passed = F.array(*[F.when(condition, F.lit(n)) for n, condition in named_filters(real_label).items()])
+    return df.select(*keep, F.explode(F.array_compact(passed)).alias(name))
 
 
 def filter_from_date(df: DataFrame, col: str, start: date) -> DataFrame:

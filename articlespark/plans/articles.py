@@ -15,7 +15,8 @@ from ..functions import text as tx
 from ..operators import calendar, locations, ordering, rows, textjobs
 from ..operators.aggregates import count_by
 from ..operators.joins import member_flag
-from ..sources.stages import resolve_flags, stage
+from ..runtime import shuffle_width
+from ..sources.stages import Buckets, resolve_flags, stage
 
 WORKING_COLUMNS = ["Column1", "subject2", "count", "date_str", "media_type_title", "media_type_article", "date"]
 FINAL_DROPS = ["nlp_textloc", "source", "location", "nlp_location"]
@@ -30,6 +31,8 @@ class Settings:
     stopwords: Sequence[str] = ()
     strip_article_punct: bool = False
     try_date_formats: bool = False
+    #: buckets of the stages, by article; None takes as many as the session has shuffle partitions
+    buckets: int | None = None
 
 
 def combine(true: DataFrame, fake: DataFrame, test: DataFrame) -> DataFrame:
@@ -159,19 +162,23 @@ class Inputs:
 def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings,
                    flags: Mapping[str, bool] | None = None) -> tuple[DataFrame, Places]:
     """The whole article job. Every stage is saved below ``folder``; ``flags`` choose which saved
-    stages are used again. Returns the final articles and the place tables."""
+    stages are used again. Returns the final articles and the place tables.
+
+    Stages lie in buckets of ``article_id``. The texts are dealt to them once, by the first; later stages, the mentions and joins
+    between them move only what is new, such as lemmas, scores and places."""
     use = resolve_flags(flags or {})
+    buckets = Buckets("article_id", settings.buckets or shuffle_width(spark))
 
     def saved_stage(name, flag, build):
-        return stage(spark, f"{folder}/{name}", build, bool(use.get(flag)))
+        return stage(spark, f"{folder}/{name}", build, bool(use.get(flag)), buckets)
 
     combined = saved_stage("combined", "useprecombineddata", lambda: prepare(classify_and_combine(
-        spark, inputs.true, inputs.fake, inputs.test, settings)))
+        spark, inputs.true, inputs.fake, inputs.test, settings)).repartition(buckets.number, buckets.key))
     nlp = saved_stage("nlp", "usepostnlpdata", lambda: process_nlp(combined, inputs.lemmas, settings))
     scored = saved_stage("scored", "useprelocationdata", lambda: apply_sentiment(nlp, inputs.lexicon))
     located = saved_stage("located", "useprelocationenricheddata", lambda: locate(
         scored, inputs.cities, inputs.states, inputs.regions))
     tables = place_tables(located, inputs.cities, inputs.states, inputs.regions)
-    mentions = stage(spark, f"{folder}/article_locations", lambda: tables.mentions)
+    mentions = stage(spark, f"{folder}/article_locations", lambda: tables.mentions, buckets=buckets)
     unique = stage(spark, f"{folder}/unique_locations", lambda: tables.unique)
     return finalize(located), Places(mentions, tables.counts, unique)

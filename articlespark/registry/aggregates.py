@@ -7,10 +7,10 @@ from ..functions import text as tx
 from ..operators import aggregates as ag
 from ..operators.charts import map_slices
 from ..operators.joins import outer_counts
-from ..plans.marts import articles_for_map, dashboard, located_articles
+from ..plans.marts import articles_for_map, dashboard, located_articles, map_levels
 from .core import ARTICLES, articles, measured, register, table, tokens_sql
 from .dates import HOLIDAYS, with_holidays
-from .locations import MENTIONS, PLACES, mentions, places
+from .locations import MENTIONS, PLACES, mentions, named_places
 from .measures import MIXED
 from .strings import MEDIA_COMBINED_SQL
 
@@ -40,13 +40,22 @@ def _articles_with_parts(spark, d):
 SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, CAST(day(date) AS INT) AS day, date, state, country, continent, subcontinent,
 {_MAP_COUNTS} FROM located WHERE {_MAP_ROWS} GROUP BY ALL""")
 def agg_map_counts(spark, d):
-    found = mentions(spark, d)
-    return articles_for_map(_articles_with_parts(spark, d), found, places(spark, found))
+    return articles_for_map(_articles_with_parts(spark, d), mentions(spark, d), named_places(spark))
+
+
+_LEVELS_SQL = " UNION ALL ".join(f"""SELECT '{level}' AS level, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month,
+  {'CAST(day(date) AS INT)' if 'day' in keys else 'NULL'} AS day, {'date' if 'day' in keys else 'NULL'} AS date, {'state' if 'state' in keys else 'NULL'} AS state,
+  country, continent, subcontinent, {_MAP_COUNTS} FROM located WHERE {_MAP_ROWS} GROUP BY ALL""" for level, keys in ag.MAP_LEVELS.items())
+
+
+@register("agg_map_levels", f"WITH {_LOCATED} {_LEVELS_SQL}")
+def agg_map_levels(spark, d):
+    """Day, state and country level from one search for places and one aggregate."""
+    return map_levels(_articles_with_parts(spark, d), mentions(spark, d), named_places(spark))
 
 
 def _located(spark, d):
-    found = mentions(spark, d)
-    return located_articles(_articles_with_parts(spark, d), found, places(spark, found))
+    return located_articles(_articles_with_parts(spark, d), mentions(spark, d), named_places(spark))
 
 
 @register("agg_map_counts_by_state", f"""WITH {_LOCATED} SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, state, country,

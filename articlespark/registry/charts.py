@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..operators import charts, rows
+from ..operators.ordering import SKETCH_ACCURACY
 from .core import ARTICLES, MEASURED, articles, measured, register
 from .measures import MIXED
 from ..functions import measures as ms
@@ -23,11 +24,8 @@ _PAIRS = [("title_polarity", "article_polarity"), ("title_subjectivity", "articl
     f"SELECT '{x}' AS pair, l_orderkey, l_linenumber, round(CAST({x} AS DOUBLE), 6) AS x, round(CAST({y} AS DOUBLE), 6) AS y, label FROM mixed "
     "WHERE date_clean BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'" for x, y in _PAIRS))
 def chart_scatter(spark, d):
-    m = _mixed(spark, d)
-    return rows.union_sources(*[
-        charts.scatter(m, x, y, "label", "date_clean", date(1998, 1, 1), date(1998, 12, 31), keep=["l_orderkey", "l_linenumber"])
-        .select(F.lit(x).alias("pair"), "l_orderkey", "l_linenumber", F.round(F.col("x").cast("double"), 6).alias("x"),
-                F.round(F.col("y").cast("double"), 6).alias("y"), "label") for x, y in _PAIRS])
+    points = charts.scatter_pairs(_mixed(spark, d), _PAIRS, "label", "date_clean", date(1998, 1, 1), date(1998, 12, 31), ["l_orderkey", "l_linenumber"])
+    return points.withColumns({c: F.round(c, 6) for c in ("x", "y")})
 
 
 @register("chart_box", f"""WITH {ARTICLES}, q AS (SELECT label, count(*) AS n, quantile_cont(CAST(length(article_text) AS DOUBLE), [0, 0.25, 0.5, 0.75, 1]) AS q
@@ -38,6 +36,23 @@ def chart_box(spark, d):
     return box.select("label", "n_rows", *[F.round(c, 6).alias(c) for c in ("low", "q1", "median", "q3", "high")])
 
 
+@register("chart_box_approx", f"""WITH {ARTICLES} SELECT label, CAST(count(*) AS BIGINT) AS n_rows, CAST(min(length(article_text)) AS DOUBLE) AS low,
+CAST(max(length(article_text)) AS DOUBLE) AS high, TRUE AS q1, TRUE AS median, TRUE AS q3 FROM articles WHERE label IS NOT NULL GROUP BY label""")
+def chart_box_approx(spark, d):
+    """Whether the quartiles from sketches are as near to the exact ranks as their accuracy says."""
+    sized = articles(spark, d).select("label", F.length("article_text").cast("double").alias("v"))
+    box = charts.box(sized, "v", approximate=True)
+    # a row per class
+    ranked = sized.join(F.broadcast(box), "label").groupBy(*box.columns).agg(
+        *[F.avg((F.col("v") <= F.col(q)).cast("double")).alias(f"{q}_to") for q in ("q1", "median", "q3")],
+        *[F.avg((F.col("v") < F.col(q)).cast("double")).alias(f"{q}_before") for q in ("q1", "median", "q3")])
+    error = 1 / SKETCH_ACCURACY
+    # a rank is a whole number of rows
+    slack = F.lit(error) + 1 / F.col("n_rows")
+    return ranked.select("label", "n_rows", "low", "high", *[
+        ((F.col(f"{q}_before") <= p + slack) & (F.col(f"{q}_to") >= p - slack)).alias(q) for q, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+
+
 def _hex_sql(source: str, x: str, y: str, where: str, grid: int, ny: int) -> str:
     return f"""WITH {source}, pts AS (SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y, label FROM base
   WHERE {where} AND label IS NOT NULL AND {x} IS NOT NULL AND {y} IS NOT NULL),

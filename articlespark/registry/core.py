@@ -135,9 +135,12 @@ def nlp_text(c):
     return tx.clean_text(c, [])
 
 
-NLP = rf"""nlp AS (
-  SELECT article_id, label, date_clean, trim(regexp_replace(lower(regexp_replace(regexp_replace(
-    article_text, '<[^\n]*?>', '', 'g'), '[^{WD}{SP}]', '', 'g')), '[{SP}]+', ' ', 'g')) AS nlp_text FROM articles)"""
+def nlp_sql(text: str) -> str:
+    return rf"""trim(regexp_replace(lower(regexp_replace(regexp_replace(
+    {text}, '<[^\n]*?>', '', 'g'), '[^{WD}{SP}]', '', 'g')), '[{SP}]+', ' ', 'g'))"""
+
+
+NLP = f"nlp AS (SELECT article_id, label, date_clean, {nlp_sql('article_text')} AS nlp_text FROM articles)"
 
 
 def words_sql(text: str) -> str:

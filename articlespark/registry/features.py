@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..operators import features as ft
 from ..operators import metrics, models
+from ..operators.vectors import coordinates
+from ..runtime import materialize
 from .core import ARTICLES, STOP_SQL, STOPWORDS, articles, register, table, tokens_sql
 
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -40,22 +42,27 @@ def ml_yeojohnson_fit(spark, d):
     return moved.select("l_orderkey", "l_linenumber", *[ft.standardize(F.col(c), *moments[c]).alias(c) for c in lambdas])
 
 
-@register("ml_ordinal", """WITH seen AS (SELECT DISTINCT p_name FROM part WHERE p_size > 5),
-codes AS (SELECT p_name, dense_rank() OVER (ORDER BY p_name) - 1 AS k FROM seen)
+@register("ml_ordinal", """WITH codes AS (SELECT p_name, dense_rank() OVER (ORDER BY p_name) - 1 AS k FROM (SELECT DISTINCT p_name FROM part))
 SELECT p_partkey, key, CAST(coalesce(k, -1) AS DOUBLE) AS code FROM (
   SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN 'no such part' ELSE p_name END AS key FROM part) LEFT JOIN codes ON p_name = key""")
 def ml_ordinal(spark, d):
+    """Codes of all names; every tenth row asks for a name they do not have."""
     part = table(spark, d, "part")
-    codes = ft.ordinal_codes(part.filter("p_size > 5"), "p_name")
+    codes = ft.ordinal_codes(part, "p_name")
     keyed = part.select("p_partkey", F.when(F.col("p_partkey") % 10 == 0, "no such part").otherwise(F.col("p_name")).alias("key"))
     return ft.encode_ordinal(keyed, "key", codes, "code")
 
 
-@register("ml_onehot", """SELECT o_orderkey, (o_orderstatus = 'F')::INT::DOUBLE AS "o_orderstatus_F", (o_orderstatus = 'O')::INT::DOUBLE AS "o_orderstatus_O" FROM orders""")
+@register("ml_onehot", """SELECT l_orderkey, l_linenumber, 'item_' || l_partkey || '/' || l_suppkey AS feature, 1.0::DOUBLE AS value FROM lineitem
+WHERE l_linenumber <> 7 UNION ALL SELECT l_orderkey, l_linenumber, 'l_returnflag_' || l_returnflag, 1.0 FROM lineitem""")
 def ml_onehot(spark, d):
-    orders = table(spark, d, "orders")
-    seen = ft.categories(orders.filter("o_orderstatus <> 'P'"), "o_orderstatus")
-    return orders.select("o_orderkey", *[e.alias(n) for n, e in ft.onehot_columns("o_orderstatus", seen).items()])
+    """A vector over all pairs of part and supplier and a short column; every seventh line asks for a pair there is none of."""
+    pair = F.concat_ws("/", "l_partkey", "l_suppkey")
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", pair.alias("item"))
+    model = ft.fit_features(items, onehot=["item", "l_returnflag"])
+    asked = items.withColumn("item", F.when(F.col("l_linenumber") == 7, "none").otherwise(F.col("item")))
+    rows = coordinates(model.transform(asked, ["l_orderkey", "l_linenumber"]), "features", ["l_orderkey", "l_linenumber"])
+    return rows.join(model.names(spark), "index").select("l_orderkey", "l_linenumber", "feature", "value")
 
 
 _TARGET = "CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END"
@@ -86,27 +93,50 @@ _CORR = ["l_quantity", "l_extendedprice", "l_discount", "net"]
     + ") SELECT earlier, feature, round(correlation, 6) AS correlation, feature IN (SELECT feature FROM c WHERE correlation > 0.9) AS dropped FROM c")
 def ml_corr_filter(spark, d):
     items = table(spark, d, "lineitem").withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    dropped = ft.correlated_features(items, _CORR).withColumn("dropped", F.lit(True))
-    return (ft.pair_correlations(items, _CORR).join(F.broadcast(dropped), "feature", "left")
+    pairs = materialize(ft.pair_correlations(items, _CORR), "pairs")
+    # a row per feature at most
+    dropped = ft.too_close(pairs).withColumn("dropped", F.lit(True))
+    return (pairs.join(F.broadcast(dropped), "feature", "left")
             .select("earlier", "feature", F.round("correlation", 6).alias("correlation"), F.coalesce("dropped", F.lit(False)).alias("dropped")))
 
 
-@register("ml_features", f"""WITH b AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_discount, l_linestatus, {_TARGET} AS label FROM lineitem),
-m AS (SELECT avg(l_quantity) AS a, stddev_pop(l_quantity) AS s FROM lineitem),
-k AS (SELECT l_linestatus, dense_rank() OVER (ORDER BY l_linestatus) - 1 AS code FROM (SELECT DISTINCT l_linestatus FROM lineitem))
-SELECT l_orderkey, l_linenumber, label, (l_returnflag = 'A')::INT::DOUBLE AS "l_returnflag_A", (l_returnflag = 'N')::INT::DOUBLE AS "l_returnflag_N",
-  (l_returnflag = 'R')::INT::DOUBLE AS "l_returnflag_R", round((l_quantity - a) / s, 6) AS l_quantity, code::DOUBLE AS l_linestatus
-FROM b JOIN k USING (l_linestatus), m""")
+_FEATURES = f"""WITH b AS (SELECT l_orderkey, l_linenumber, {_TARGET} AS label, l_returnflag, l_linestatus, l_partkey || '/' || l_suppkey AS item,
+  l_quantity, l_discount FROM lineitem),
+m AS (SELECT avg(l_quantity) AS a, stddev_pop(l_quantity) AS s, avg(l_discount) AS da, stddev_pop(l_discount) AS ds FROM lineitem),
+k AS (SELECT l_linestatus, dense_rank() OVER (ORDER BY l_linestatus) - 1 AS code FROM (SELECT DISTINCT l_linestatus FROM lineitem)),
+f AS (SELECT l_orderkey, l_linenumber, label, 'item_' || item AS feature, 1.0::DOUBLE AS value FROM b
+  UNION ALL SELECT l_orderkey, l_linenumber, label, 'l_returnflag_' || l_returnflag, 1.0 FROM b
+  UNION ALL SELECT l_orderkey, l_linenumber, label, 'l_quantity', round((l_quantity - a) / s, 6) FROM b, m
+  UNION ALL SELECT l_orderkey, l_linenumber, label, 'l_discount', round((l_discount - da) / ds, 6) FROM b, m
+  UNION ALL SELECT l_orderkey, l_linenumber, label, 'l_linestatus', code::DOUBLE FROM b JOIN k USING (l_linestatus))"""
+
+
+@register("ml_features", _FEATURES + " SELECT * FROM f WHERE value <> 0")
 def ml_features(spark, d):
-    items = _target(spark, d).select("l_orderkey", "l_linenumber", "label", "l_returnflag", "l_quantity", "l_linestatus")
-    routed = ft.route_columns(items, ["l_orderkey", "l_linenumber", "label"], high_cardinality=["l_linestatus"])
+    """Routed columns, one of them with a value for nearly every row, as one sparse vector."""
+    keep = ["l_orderkey", "l_linenumber", "label"]
+    items = _target(spark, d).select(*keep, F.concat_ws("/", "l_partkey", "l_suppkey").alias("item"), "l_returnflag", "l_quantity", "l_discount", "l_linestatus")
+    routed = ft.route_columns(items, keep, high_cardinality=["l_linestatus"])
     model = ft.fit_features(items, routed["onehot"], routed["skewed"], routed["numeric"], routed["ordinal"])
-    out = model.transform(items, ["l_orderkey", "l_linenumber", "label"])
-    return out.withColumn("l_quantity", F.round("l_quantity", 6))
+    rows = coordinates(model.transform(items, keep), "features", keep).join(model.names(spark), "index")
+    return rows.select(*keep, "feature", F.round("value", 6).alias("value")).where("value <> 0")
+
+
+_DIMENSIONS = 64
+
+
+@register("ml_corr_wide", f"""WITH v AS (SELECT row_number() OVER () AS r, embedding FROM embeddings WHERE len(embedding) = {_DIMENSIONS}),
+x AS (SELECT r, unnest(embedding)::DOUBLE AS x, unnest(range({_DIMENSIONS})) AS i FROM v)
+SELECT 'e' || a.i AS earlier, 'e' || b.i AS feature, round(abs(corr(a.x, b.x)), 6) AS correlation FROM x a JOIN x b ON a.r = b.r AND a.i < b.i GROUP BY a.i, b.i""")
+def ml_corr_wide(spark, d):
+    """All pairs of the coordinates of the embeddings."""
+    rows = table(spark, d, "embeddings").where(F.size("embedding") == _DIMENSIONS)
+    wide = rows.select(*[F.get("embedding", F.lit(i)).alias(f"e{i}") for i in range(_DIMENSIONS)])
+    return ft.pair_correlations(wide, wide.columns).withColumn("correlation", F.round("correlation", 6))
 
 
 # Predictions: the label, flipped for every seventh document; half the rows are the test split
-_PREDICTIONS = """predictions AS (SELECT doc_id AS article_id, CASE WHEN doc_id % 2 = 0 THEN 'test' ELSE 'train' END AS split, quality AS label,
+PREDICTIONS = """predictions AS (SELECT doc_id AS article_id, CASE WHEN doc_id % 2 = 0 THEN 'test' ELSE 'train' END AS split, quality AS label,
   CAST(CASE WHEN doc_id % 7 = 0 THEN 1 - quality ELSE quality END AS DOUBLE) AS prediction FROM labels)"""
 
 
@@ -117,18 +147,18 @@ def predictions(spark, d):
         F.when(k % 7 == 0, 1 - q).otherwise(q).cast("double").alias("prediction"))
 
 
-_CELLS = """CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS true_negatives, CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS false_positives,
+CELLS = """CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS true_negatives, CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS false_positives,
 CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS false_negatives, CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS true_positives"""
 
 
-@register("ml_confusion", f"WITH {_PREDICTIONS} SELECT {_CELLS} FROM predictions")
+@register("ml_confusion", f"WITH {PREDICTIONS} SELECT {CELLS} FROM predictions")
 def ml_confusion(spark, d):
     return metrics.confusion(predictions(spark, d))
 
 
 def _report_sql(by: str) -> str:
     g = f"{by}, " if by else ""
-    return f"""WITH {_PREDICTIONS}, c AS (SELECT {g}{_CELLS} FROM predictions {'GROUP BY ' + by if by else ''}),
+    return f"""WITH {PREDICTIONS}, c AS (SELECT {g}{CELLS} FROM predictions {'GROUP BY ' + by if by else ''}),
 k AS (SELECT {g}0 AS class, true_negatives AS hit, false_negatives AS wrong, false_positives AS missed FROM c
       UNION ALL SELECT {g}1, true_positives, false_positives, false_negatives FROM c),
 p AS (SELECT {g}class, hit, hit / (hit + wrong) AS precision, hit / (hit + missed) AS recall, hit + missed AS support FROM k),
@@ -155,7 +185,7 @@ def ml_train_test_eval(spark, d):
     return _rounded(metrics.report(predictions(spark, d), ["split"]))
 
 
-@register("ml_mse", f"""WITH {_PREDICTIONS} SELECT split, round(avg((prediction * 4 + 1 - (label * 4 + 1)) ** 2), 6) AS mean_squared_error
+@register("ml_mse", f"""WITH {PREDICTIONS} SELECT split, round(avg((prediction * 4 + 1 - (label * 4 + 1)) ** 2), 6) AS mean_squared_error
 FROM predictions GROUP BY split""")
 def ml_mse(spark, d):
     scored = predictions(spark, d).withColumns({"label": F.col("label") * 4 + 1, "prediction": F.col("prediction") * 4 + 1})

@@ -3,19 +3,18 @@
 from pyspark.sql import functions as F
 
 from ..operators import joins
+from ..runtime import materialize
 from .aggregates import CLASS_WORDS, class_words
 from .core import ARTICLES, articles, register, table
-from .locations import MENTIONS, PLACES, mentions, places
+from .locations import MENTIONS, NAMED_PLACES, mentions, named_places
 
 
-@register("join_loc_left", f"""WITH {PLACES} SELECT p.location, p.city, m.article_id FROM places p LEFT JOIN (
-  SELECT * FROM mentions WHERE article_id % 2 = 0 AND location <> 'der') m ON lower(m.location) = p.location""")
+@register("join_loc_left", f"""WITH {NAMED_PLACES} SELECT p.location, p.city, m.article_id FROM places p
+LEFT JOIN mentions m ON lower(m.location) = p.location""")
 def join_loc_left(spark, d):
-    # a frequent place is left without mentions on purpose
-    found = mentions(spark, d)
-    some = found.filter((F.col("article_id") % 2 == 0) & (F.col("location") != "der"))
-    upper = some.withColumn("location", F.upper("location"))
-    return joins.lookup_left_mentions(places(spark, found).select("location", "city"), upper).select("location", "city", "article_id")
+    """All names of the gazetteer with all their mentions; the ones no text holds stay alone."""
+    upper = materialize(mentions(spark, d), "mentions").withColumn("location", F.upper("location"))
+    return joins.lookup_left_mentions(named_places(spark).select("location", "city"), upper).select("location", "city", "article_id")
 
 
 @register("join_article_left", f"""WITH {MENTIONS} SELECT a.article_id, a.label, m.location FROM articles a LEFT JOIN mentions m USING (article_id)""")
@@ -26,8 +25,7 @@ def join_article_left(spark, d):
 @register("join_semi_words", f"""WITH {ARTICLES}, {CLASS_WORDS}
 SELECT label, word, cnt FROM class_words c WHERE EXISTS (SELECT 1 FROM class_words o WHERE o.word = c.word AND o.label = 1 - c.label)""")
 def join_semi_words(spark, d):
-    w = class_words(spark, d)
-    return joins.words_in_both(w, 0, 1).unionByName(joins.words_in_both(w, 1, 0)).select("label", "word", "cnt")
+    return joins.shared_words(joins.word_classes(class_words(spark, d)))
 
 
 @register("join_anti_words", f"""WITH {ARTICLES}, {CLASS_WORDS}
@@ -35,14 +33,7 @@ SELECT CASE label WHEN 1 THEN 'true_only' ELSE 'false_only' END AS subset, word,
 WHERE NOT EXISTS (SELECT 1 FROM class_words o WHERE o.word = c.word AND o.label = 1 - c.label)
 UNION ALL SELECT 'common', word, CAST(sum(cnt) AS BIGINT) FROM class_words GROUP BY word HAVING count(*) = 2""")
 def join_anti_words(spark, d):
-    w = class_words(spark, d)
-
-    def named(df, name):
-        return df.select(F.lit(name).alias("subset"), "word", "cnt")
-
-    return (named(joins.words_only_in(w, 1, 0), "true_only")
-            .unionByName(named(joins.words_only_in(w, 0, 1), "false_only"))
-            .unionByName(named(joins.words_in_neither_only(w, 0, 1), "common")))
+    return joins.word_subsets(joins.word_classes(class_words(spark, d)))
 
 
 @register("join_member_flag", """SELECT doc_id, source, CASE WHEN source IN (SELECT 'src' || n_nationkey FROM nation WHERE n_nationkey % 2 = 0) THEN 0 ELSE 1 END AS ignore

@@ -11,12 +11,14 @@ from .strings import clean_sql
 _WORDS = words_sql("text")
 
 
-@register("list_parse", f"""WITH w AS (SELECT doc_id, list_filter({_WORDS}, lambda w: NOT contains(w, '''') AND NOT contains(w, '\\')) AS w FROM documents)
+@register("list_parse", f"""WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents)
 SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 0 ELSE len(w) END AS INT) AS n,
        md5(CASE WHEN doc_id % 3 = 0 THEN '' ELSE array_to_string(w, '|') END) AS items_md5 FROM w""")
 def list_parse(spark, d):
-    kept = F.filter(tx.words(F.col("text")), lambda w: ~w.contains("'") & ~w.contains("\\"))
-    written = F.concat(F.lit("["), F.array_join(F.transform(kept, lambda w: F.concat(F.lit("'"), w, F.lit("'"))), ", "),
+    """All words of a text as a written list, quotes and backslashes escaped; every third list is broken."""
+    def quoted(w):
+        return F.concat(F.lit("'"), F.regexp_replace(w, r"([\\'])", r"\\$1"), F.lit("'"))
+    written = F.concat(F.lit("["), F.array_join(F.transform(tx.words(F.col("text")), quoted), ", "),
                        F.when(F.col("doc_id") % 3 == 0, F.lit(", broken")).otherwise(F.lit("]")))
     docs = table(spark, d, "documents").select("doc_id", ls.parse_list(written).alias("items"))
     return docs.select("doc_id", F.size("items").alias("n"), F.md5(F.array_join("items", "|")).alias("items_md5"))

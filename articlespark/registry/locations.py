@@ -51,11 +51,13 @@ MENTIONS = f"""{ARTICLES}, {NLP}, mentions AS (
     SELECT article_id, unnest(regexp_extract_all(' ' || replace(nlp_text, ' ', '  ') || ' ', ' ({_PATTERN}) ', 1)) AS m FROM nlp))"""
 
 
+def names(spark):
+    return loc.gazetteer(cities(spark), loc.trim_headers(states(spark)), regions(spark))
+
+
 def mentions(spark, d):
-    """Written once, as several consumers read it and finding places is the expensive part."""
     texts = articles(spark, d).select("article_id", nlp_text(F.col("article_text")).alias("nlp_text"))
-    names = loc.gazetteer(cities(spark), loc.trim_headers(states(spark)), regions(spark))
-    return materialize(loc.find_places(texts, "article_id", "nlp_text", names), "mentions")
+    return loc.find_places(texts, "article_id", "nlp_text", names(spark))
 
 
 PLACES = f"""{MENTIONS}, {LOOKUPS},
@@ -87,15 +89,25 @@ places AS (SELECT location, ignore,
   CASE WHEN c.city IS NOT NULL THEN coalesce(reg.iso2, c.iso2) WHEN s.k IS NOT NULL THEN reg.iso2 ELSE coalesce(rc.iso2, r2.iso2, r3.iso2) END AS iso2,
   CASE WHEN c.city IS NOT NULL THEN coalesce(reg.iso3, c.iso3) WHEN s.k IS NOT NULL THEN reg.iso3 ELSE coalesce(rc.iso3, r2.iso3, r3.iso3) END AS iso3
   FROM step LEFT JOIN region reg ON reg.country = CASE WHEN c.city IS NOT NULL THEN c.country WHEN s.k IS NOT NULL THEN s.country END)"""
+NAMED_PLACES = PLACES.replace("FROM mentions),\nstep", "FROM (SELECT unnest([" + ", ".join(f"'{n}'" for n in _NAMES) + "]) AS location)),\nstep")
 _PLACE_COLS = "location, ignore, city, state, country, subcontinent, continent, latitude, longitude, iso2, iso3"
 
 
 def places(spark, found):
     """Enriched distinct places of the given mentions."""
+    return enriched(spark, found.select("location").distinct())
+
+
+def named_places(spark):
+    """All names of the gazetteer enriched, whether a text holds them or not: no larger than the lookups and
+    known without the texts."""
+    return materialize(enriched(spark, names(spark)), "named-places")
+
+
+def enriched(spark, distinct):
     known = cities(spark).select(F.lower("city_ascii").alias("city"))
-    flagged = member_flag(found.select("location").distinct(), "location", known, "city")
     city, state, region = loc.lookups(cities(spark), states(spark), regions(spark))
-    return materialize(loc.enrich_places(flagged, city, state, region), "places")
+    return loc.enrich_places(member_flag(distinct, "location", known, "city"), city, state, region)
 
 
 @register("gazetteer_union", """SELECT DISTINCT lower(trim(v)) AS location FROM (SELECT n_name AS v FROM nation UNION ALL SELECT r_name FROM region
@@ -141,7 +153,8 @@ def loc_lookup_norm(spark, d):
 SELECT 'missing' AS kind, location, latitude, country FROM holes WHERE latitude IS NULL AND ignore <> 1
 UNION ALL SELECT 'updated', location, CASE WHEN latitude IS NULL AND ignore <> 1 THEN 12.5::DOUBLE ELSE latitude END, country FROM holes""")
 def loc_missing(spark, d):
-    holes = places(spark, mentions(spark, d)).withColumn("latitude", F.when(F.length("location") % 2 == 0, F.col("latitude")))
+    # read three times, and finding places is the expensive part
+    holes = materialize(places(spark, mentions(spark, d)), "places").withColumn("latitude", F.when(F.length("location") % 2 == 0, F.col("latitude")))
     missing = loc.missing_places(holes)
     results = missing.select("location", F.lit(12.5).alias("latitude"), F.lit(None).cast("string").alias("country"))
     updated = update_from(holes, results, "location", ["latitude", "country"])

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from ..operators import ngrams as ng
 from ..operators import textjobs
+from ..runtime import materialize
 from .core import (ARTICLES, LEMMAS, NLP, NOUNS, NOUNS_SQL, SENTIMENT, SENTIMENT_SQL, STOP_SQL, STOPWORDS, WD, articles,
-                   lemma_sql, literal, nlp_text, register, tokens_sql, words_sql)
+                   lemma_sql, literal, nlp_sql, nlp_text, register, tokens_sql, words_sql)
 
 _CLEAN = (rf"regexp_extract_all(array_to_string(list_filter(regexp_extract_all(lower(replace(replace(text, '‘', ''''), '’', '''')), "
           rf"'[{WD}]+(?:''[{WD}]+)*'), lambda w: regexp_full_match(w, '[a-z]+(''[a-z]+)?') AND w NOT IN {STOP_SQL}), ' '), '[{WD}]{{2,}}')")
@@ -120,7 +121,7 @@ def repeat_terms(spark, d):
 known AS (SELECT term FROM summary WHERE ngram_size = 1 AND total_count >= 50)
 SELECT ngram_size, term, total_count FROM kept k WHERE ngram_size = 1 OR EXISTS (SELECT 1 FROM known WHERE list_contains(string_split(k.term, ' '), known.term))""")
 def ngram_vocab_gate(spark, d):
-    s = summary(spark, d, None)
+    s = materialize(summary(spark, d, None), "summary")
     known = s.filter("ngram_size = 1 AND total_count >= 50")
     return ng.vocabulary_gate(s, known, min_total=20).select("ngram_size", "term", "total_count")
 
@@ -158,7 +159,7 @@ def themes_by_year(spark, d):
 
 
 @register("agg_sentiment", f"""WITH {ARTICLES}, {NLP}, {SENTIMENT_SQL},
-t AS (SELECT article_id, nlp_text, array_to_string({words_sql("lower(regexp_replace(title, '[^a-zA-Z ]', '', 'g'))")}, ' ') AS nlp_title FROM nlp JOIN articles USING (article_id)),
+t AS (SELECT article_id, nlp_text, {nlp_sql("title")} AS nlp_title FROM nlp JOIN articles USING (article_id)),
 a AS (SELECT article_id, avg(polarity) AS p, avg(subjectivity) AS s FROM (SELECT article_id, unnest(string_split(nlp_text, ' ')) AS word FROM t) JOIN sentiment USING (word) GROUP BY 1),
 h AS (SELECT article_id, avg(polarity) AS p, avg(subjectivity) AS s FROM (SELECT article_id, unnest(string_split(nlp_title, ' ')) AS word FROM t) JOIN sentiment USING (word) GROUP BY 1)
 SELECT article_id, round(coalesce(a.p, 0), 6) AS article_polarity, round(coalesce(a.s, 0), 6) AS article_subjectivity,
@@ -166,9 +167,8 @@ SELECT article_id, round(coalesce(a.p, 0), 6) AS article_polarity, round(coalesc
        CASE WHEN article_id % 7 <> 0 THEN round(coalesce(h.s, 0), 6) END AS title_subjectivity
 FROM t LEFT JOIN a USING (article_id) LEFT JOIN h USING (article_id)""")
 def agg_sentiment(spark, d):
-    title = F.lower(F.regexp_replace("title", "[^a-zA-Z ]", ""))
     texts = articles(spark, d).select("article_id", nlp_text(F.col("article_text")).alias("nlp_text"),
-                                      F.when(F.col("article_id") % 7 != 0, title).alias("nlp_title"))
+                                      F.when(F.col("article_id") % 7 != 0, nlp_text(F.col("title"))).alias("nlp_title"))
     lexicon = literal(spark, SENTIMENT, "word string, polarity double, subjectivity double")
     out = textjobs.lexicon_scores(texts, "article_id", {"article": F.col("nlp_text"), "title": F.col("nlp_title")}, lexicon)
     return out.select("article_id", *[F.round(f"{p}_{m}", 6).alias(f"{p}_{m}")

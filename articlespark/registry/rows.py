@@ -110,23 +110,22 @@ def rename_columns(spark, d):
     return rows.rename_columns(docs, {"text": "article_text", "source": "source_name"})
 
 
-@register("value_remap", """SELECT doc_id, CASE quality WHEN 0 THEN 'True News' WHEN 1 THEN 'Fake News' END AS label_name,
+@register("value_remap", """SELECT doc_id, CASE quality WHEN 1 THEN 'True News' WHEN 0 THEN 'Fake News' END AS label_name,
 CASE quality WHEN 0 THEN 1 WHEN 1 THEN 5 END AS realness_score FROM labels""")
 def value_remap(spark, d):
     q = F.col("quality")
-    return table(spark, d, "labels").select("doc_id", rows.remap(q, rows.LABEL_NAMES).alias("label_name"),
+    return table(spark, d, "labels").select("doc_id", rows.remap(q, rows.label_names()).alias("label_name"),
                                             rows.remap(q, rows.REALNESS).alias("realness_score"))
 
 
 @register("filter_named", f"""WITH {ARTICLES}
-SELECT 'fake_news_ftr' AS filter, article_id FROM articles WHERE label = 1
-UNION ALL SELECT 'true_news_ftr', article_id FROM articles WHERE label = 0
+SELECT 'fake_news_ftr' AS filter, article_id FROM articles WHERE label = 0
+UNION ALL SELECT 'true_news_ftr', article_id FROM articles WHERE label = 1
 UNION ALL SELECT 'validdates_ftr', article_id FROM articles WHERE date_clean > DATE '2001-01-01'
 UNION ALL SELECT 'locations_ftr', article_id FROM articles WHERE toxic = 1""")
 def filter_named(spark, d):
     a = articles(spark, d).select("article_id", "label", F.col("date_clean").alias("date"), F.col("toxic").alias("ignore"))
-    return rows.union_sources(*[rows.filter_named(a, n).select(F.lit(n).alias("filter"), "article_id")
-                                for n in rows.NAMED_FILTERS])
+    return rows.matching_filters(a, ["article_id"])
 
 
 @register("filter_date_min", f"""WITH {MEASURED}

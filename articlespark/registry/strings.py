@@ -1,9 +1,12 @@
 """String functions."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import textjobs
+from ..operators.transformers import TextCleaning, TextPreprocessor
+from ..runtime import shared_path
 from .core import (ARTICLES, DATELINED, LEMMAS, MEASURED, SP, STOP_SQL, STOPWORDS, WD, articles, datelined, lemma_sql,
                    literal, measured, no_punct_sql, register, strip_sql, table, words_sql)
 
@@ -99,6 +102,17 @@ def svc_clean(spark, d):
                                      F.md5(tx.lower_no_punct(title, text)).alias("two_md5"))
 
 
+@register("svc_pipeline", f"""WITH {ARTICLES}
+SELECT article_id, md5({no_punct_sql("lower(coalesce(article_text, ''))")}) AS one_md5,
+       md5({no_punct_sql("lower(coalesce(title, ''))")} || ' ' || {no_punct_sql("lower(coalesce(article_text, ''))")}) AS two_md5 FROM articles""")
+def svc_pipeline(spark, d):
+    """Both cleaning stages in a pipeline that was saved and loaded."""
+    path = shared_path(spark, "cleaning")
+    PipelineModel([TextCleaning(inputCol="article_text", outputCol="one"),
+                   TextPreprocessor(inputCols=["title", "article_text"], outputCol="two")]).save(path)
+    return PipelineModel.load(path).transform(articles(spark, d)).select("article_id", F.md5("one").alias("one_md5"), F.md5("two").alias("two_md5"))
+
+
 _CONTRACTIONS = (rf"list_filter(regexp_extract_all(lower(replace(replace(text, '‘', ''''), '’', '''')), "
                  rf"'[{WD}]+(?:''[{WD}]+)*'), lambda w: regexp_full_match(w, '[a-z]+(''[a-z]+)?') AND w NOT IN {STOP_SQL})")
 

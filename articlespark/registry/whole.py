@@ -7,6 +7,7 @@ from ..plans import marts, terms
 from ..runtime import shared_path
 from .core import LEMMAS, NOUNS, SENTIMENT, STOPWORDS, articles, literal, raw_sources, register
 from .locations import cities, regions, states
+from .ngrams import CLOUDS
 
 
 def build(spark, d):
@@ -37,7 +38,7 @@ def article_dashboard(spark, d):
     return marts.dashboard(final)
 
 
-@register("article_terms")
+@register("article_terms", f"WITH {CLOUDS} SELECT year, ngram_size, subset, term, weight FROM clouds WHERE weight > 0")
 def article_terms(spark, d):
     path = shared_path(spark, "terms")
     rows = articles(spark, d).select("label", F.col("article_text").alias("cleaned_text"), F.year("date_clean").alias("year"))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_CHARS = 64_000_000
+COMPACT_BYTES = 32 << 20
 
 
 _local_folder: list[str] = []
@@ -28,7 +30,37 @@ def shared_path(spark: SparkSession, label: str) -> str:
         if not _local_folder:
             _local_folder.append(tempfile.mkdtemp(prefix="articlespark-"))
         base = _local_folder[0]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for scratch in _scratches:
+        scratch.paths.append(path)
+    return path
+
+
+class Scratch:
+    """The shared paths handed out inside its ``with`` blocks, so that what was written to them can go once it has been used."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        _scratches.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scratches.remove(self)
+
+    def free(self, spark: SparkSession) -> None:
+        """Delete it all. Frames that still read from it can no longer be computed."""
+        while self.paths:
+            delete(spark, self.paths.pop())
+
+
+_scratches: list[Scratch] = []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -36,7 +68,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more, everything computed from them being written itself."""
+    for table in tables:
+        delete(table.sparkSession, table.written_to)
+
+
+def compact(df: DataFrame, label: str, task_bytes: int = COMPACT_BYTES) -> DataFrame:
+    """Write ``df`` and read it in no more partitions than its files fill: an iterative learner runs a job per step, and a
+    task per nearly empty partition would be most of its time. What computes ``df`` keeps its own partitions."""
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return spark.read.schema(df.schema).parquet(path).coalesce(max(1, ceil(size / task_bytes)))
 
 
 def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

@@ -17,7 +17,7 @@ from .. import schemas
 ZIP_BATCH_ROWS = 5_000
 
 
-def read_csv(spark: SparkSession, path, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path, schema: str | T.StructType) -> DataFrame:
     """CSV with header and quoted multi-line fields, as the article files have them.
 
     An empty field is null, quoted or not."""
@@ -34,10 +34,18 @@ def read_raw_articles(spark: SparkSession, true_path, fake_path, test_path,
     true = read_csv(spark, true_path, schemas.RAW_ARTICLES)
     test = read_csv(spark, test_path, f"{schemas.RAW_ARTICLES}, {schemas.RAW_TEST_EXTRA}")
     for path in extra_test_paths:
-        test = test.unionByName(read_csv(spark, path, schemas.RAW_ARTICLES), allowMissingColumns=True)
+        test = test.unionByName(read_known(spark, path, f"{schemas.RAW_ARTICLES}, {schemas.RAW_TEST_EXTRA}"), allowMissingColumns=True)
     return fake, true, test
 
 
+def read_known(spark: SparkSession, path, schema: str) -> DataFrame:
+    """The columns of a CSV file that the schema knows, under its types; those of the schema that the file lacks are left out."""
+    known = {f.name: f for f in T.StructType.fromDDL(schema)}
+    header = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path).columns
+    fields = [known.get(name, T.StructField(name, T.StringType())) for name in header]
+    return read_csv(spark, path, T.StructType(fields)).select(*[f"`{name}`" for name in header if name in known])
+
+
 def read_zipped_csv(spark: SparkSession, path, columns: Sequence[str]) -> DataFrame:
     """String columns of the CSV members of ZIP archives, one task per archive.
 
@@ -94,5 +102,8 @@ def require_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
 
 
 def numbered(df: DataFrame, name: str = "ord") -> DataFrame:
-    """Row order of a lookup file that has no order column: (file, position) rises with this id."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Add the place of each row in the files it was read from, as a struct that sorts in file order: by file name, part of the file,
+    and row. ``df`` is a table of files, or columns of one; however its files are dealt to tasks, the order is theirs."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"),
+                     F.monotonically_increasing_id().alias("row"))
+    return df.select("*", place.alias(name))

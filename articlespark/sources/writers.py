@@ -22,14 +22,16 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def save_by_year(df: DataFrame, path: str, year: str = "year", fmt: str = "parquet",
-                 rows_per_file: int = 5_000_000) -> None:
+                 rows_per_file: int = 5_000_000, only_given: bool = True) -> None:
     """One directory per year in a single job; rows without a year are left out.
 
+    The years of ``df`` are written anew and others stay as they are; without ``only_given`` the others go.
+
     Tasks get equal ranges of (year, hash of the rest), so a large year is written by as many tasks as
     its share of the rows, and a small one by one or two."""
     rest = F.xxhash64(*[c for c in df.columns if c != year])
     (df.dropna(subset=[year]).repartitionByRange(F.col(year), rest).write.mode("overwrite")
-     .option("maxRecordsPerFile", rows_per_file).partitionBy(year).format(fmt).save(path))
+     .option("partitionOverwriteMode", "dynamic" if only_given else "static").option("maxRecordsPerFile", rows_per_file).partitionBy(year).format(fmt).save(path))
 
 
 def save_text(fragments: DataFrame, path: str, by: list[str], fragment: str = "fragment") -> None:

@@ -201,7 +201,9 @@ def test_unknown_categories(spark):
 
 def test_onehot_of_many_categories(spark):
     df = spark.range(1_001).select(F.concat(F.lit("v"), "id").alias("c"))
-    assert len(features.fit_features(df, onehot=["c"]).names) == 1_001
+    assert features.fit_features(df, onehot=["c"]).size == 1_001
+    with pytest.raises(ValueError):
+        features.categories(df, "c")
     rows_ = features.onehot_vector(df, "c", features.ordinal_codes(df, "c")).collect()
     assert sorted(int(r["c_onehot"].indices[0]) for r in rows_) == list(range(1_001)) and rows_[0]["c_onehot"].size == 1_001
 

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from articlespark.operators import sampling
+from articlespark.operators import joins, sampling
 from articlespark.plans import articles as job
 from articlespark.plans import textmodel
 from articlespark.registry import whole
+from articlespark.sources import stages
 
 HOT = ["ngram_by_year", "agg_sentiment", "text_clean", "win_dedupe_first", "themes_by_year", "date_fallback",
        "media_combine", "agg_dashboard", "win_share"]
@@ -52,6 +53,37 @@ def test_whole_article_job(spark, sf_dir):
     assert places.unique.filter("country IS NOT NULL").count() > 0
 
 
+def shuffles(df):
+    return [line for line in plan(df).splitlines() if "Exchange hashpartitioning" in line or "Exchange range" in line]
+
+
+def test_stages_of_an_article_meet_without_a_shuffle(spark, sf_dir):
+    final, places = whole.build(spark, sf_dir)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        # texts, scores and mentions lie in the same buckets
+        assert not shuffles(joins.article_locations_join(final.select("article_id", "cleaned_text", "overall_polarity"), places.mentions))
+        assert not shuffles(places.counts)
+        # the lexicon is grouped by word, the texts and their scores stay where they are
+        lexicon = F.broadcast(spark.createDataFrame([("the", 0.1, 0.2)], "word string, polarity double, subjectivity double"))
+        scored = job.apply_sentiment(final.drop(*[c for c in final.columns if "polarity" in c or "subjectivity" in c]), lexicon)
+        assert not [line for line in shuffles(scored) if "article_id" in line]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def test_saved_buckets_are_known_to_another_session(spark, tmp_path):
+    buckets = stages.Buckets("k", 4)
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    first = stages.stage(spark, str(tmp_path / "s"), lambda: rows, buckets=buckets)
+    spark.sql(f"DROP TABLE {stages._name(str(tmp_path / 's') + '/k-4')}")
+    again = stages.stage(spark, str(tmp_path / "s"), lambda: 1 / 0, reuse=True, buckets=buckets)
+    assert sorted(again.collect()) == sorted(rows.collect()) and again.schema == first.schema
+    assert not shuffles(again.groupBy("k").count())
+    assert stages.stage(spark, str(tmp_path / "s"), lambda: rows.limit(3), reuse=True, buckets=stages.Buckets("k", 2)).count() == 3
+
+
 def test_final_cleanup(spark):
     df = spark.createDataFrame([(1, "", "rain", "rain oslo", "OSLO (X) -", ["oslo"], ["oslo"]), (2, None, "", None, None, [], None),
                                 (3, "World", None, "", "", None, [])],
