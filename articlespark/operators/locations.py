@@ -13,7 +13,7 @@ from ..functions import text as tx
 from ..runtime import materialize, small
 from ..sources.readers import require_columns, trim_headers
 from .aggregates import centroid
-from .joins import first_match
+from .joins import first_match, update_from
 
 CITY_COLUMNS = ["city_ascii", "admin_name", "country", "iso2", "iso3", "lat", "lng"]
 STATE_COLUMNS = ["Place Name", "State Capital", "Country", "Latitude", "Longitude"]
@@ -183,6 +183,17 @@ def missing_places(places: DataFrame) -> DataFrame:
     return places.filter(F.col("latitude").isNull() & (F.col("ignore") != 1))
 
 
+def fill_missing(places: DataFrame, answers: DataFrame) -> DataFrame:
+    """Position, and continent, country and state from the address, for the places that ``missing_places`` asks for.
+
+    ``answers`` is the geocoder's table (location, latitude, longitude, address), a row per place; answers for other places do not count,
+    and what an answer lacks stays as it was."""
+    continent, country, state = tx.address_parts(F.col("address"))
+    asked = (answers.select("location", "latitude", "longitude", continent.alias("continent"), country.alias("country"), state.alias("state"))
+             .join(missing_places(places).select("location"), "location", "left_semi"))
+    return update_from(places, asked, "location", ["latitude", "longitude", "continent", "country", "state"])
+
+
 def drop_ignored(places: DataFrame) -> DataFrame:
     """Null flags stay, as a comparison with a missing value is true in pandas."""
     return places.filter(~F.col("ignore").eqNullSafe(F.lit(1))).drop("ignore")

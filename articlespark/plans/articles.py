@@ -15,7 +15,7 @@ from ..functions import text as tx
 from ..operators import calendar, locations, ordering, rows, textjobs
 from ..operators.aggregates import count_by
 from ..operators.joins import member_flag
-from ..runtime import shuffle_width
+from ..runtime import materialize, shuffle_width
 from ..sources.stages import Buckets, resolve_flags, stage
 
 WORKING_COLUMNS = ["Column1", "subject2", "count", "date_str", "media_type_title", "media_type_article", "date"]
@@ -130,14 +130,19 @@ def locate(df: DataFrame, cities: DataFrame, states: DataFrame, regions: DataFra
     return locations.with_places(df, "article_id", found)
 
 
-def place_tables(located: DataFrame, cities: DataFrame, states: DataFrame, regions: DataFrame) -> Places:
+def place_tables(located: DataFrame, cities: DataFrame, states: DataFrame, regions: DataFrame,
+                 answers: DataFrame | None = None) -> Places:
+    """Mentions, their counts, and the distinct places enriched from the lookups and, where these know nothing, from a geocoder's answers."""
     mentions = locations.explode_places(located)
     counts = count_by(mentions, ["article_id", "location"])
     distinct = mentions.select("location").dropna().distinct()
     known = cities.select(F.lower("city_ascii").alias("city"))
     flagged = member_flag(distinct, "location", known, "city")
     city, state, region = locations.lookups(cities, states, regions)
-    return Places(mentions, counts, locations.enrich_places(flagged, city, state, region))
+    unique = locations.enrich_places(flagged, city, state, region)
+    if answers is not None:
+        unique = locations.fill_missing(materialize(unique, "places"), answers)
+    return Places(mentions, counts, unique)
 
 
 def finalize(df: DataFrame) -> DataFrame:
@@ -157,6 +162,8 @@ class Inputs:
     regions: DataFrame
     lexicon: DataFrame
     lemmas: DataFrame
+    #: a geocoder's answers (location, latitude, longitude, address) for places the lookups do not know
+    answers: DataFrame | None = None
 
 
 def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: Settings,
@@ -178,7 +185,7 @@ def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: S
     scored = saved_stage("scored", "useprelocationdata", lambda: apply_sentiment(nlp, inputs.lexicon))
     located = saved_stage("located", "useprelocationenricheddata", lambda: locate(
         scored, inputs.cities, inputs.states, inputs.regions))
-    tables = place_tables(located, inputs.cities, inputs.states, inputs.regions)
+    tables = place_tables(located, inputs.cities, inputs.states, inputs.regions, inputs.answers)
     mentions = stage(spark, f"{folder}/article_locations", lambda: tables.mentions, buckets=buckets)
     unique = stage(spark, f"{folder}/unique_locations", lambda: tables.unique)
     return finalize(located), Places(mentions, tables.counts, unique)

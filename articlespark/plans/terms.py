@@ -24,11 +24,12 @@ def cloud_text(df: DataFrame, text: str = "cleaned_text", title: str | None = No
 def save_term_tables(df: DataFrame, folder: str, nouns: DataFrame, text: str = "text", label: str = "label",
                      sizes: Sequence[int] = (1, 2, 3), stopwords: Sequence[str] = (),
                      sample_key: str | None = None) -> None:
-    """Summaries, cloud weights and themes below ``folder``, one directory per year.
+    """The cloud text itself, summaries, cloud weights and themes below ``folder``, one directory per year.
 
     ``sample_key`` limits the run to the test sample of 10,000 rows."""
     if sample_key:
         df = sampling.sample_rows(df, sample_key)
+    writers.save_by_year(df.select(label, text, "year"), f"{folder}/cloud_text")
     summary = ngrams.ngram_summary(df, text, label, "year", sizes, stopwords)
     writers.save_by_year(summary, f"{folder}/ngram_summary")
     written = df.sparkSession.read.parquet(f"{folder}/ngram_summary")

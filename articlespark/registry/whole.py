@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ..plans import articles as job
 from ..plans import marts, terms
 from ..runtime import shared_path
-from .core import LEMMAS, NOUNS, SENTIMENT, STOPWORDS, articles, literal, raw_sources, register
+from ..sources import readers, writers
+from .core import ARTICLES, LEMMAS, NOUNS, SENTIMENT, STOPWORDS, articles, literal, raw_sources, register, words_sql
 from .locations import cities, regions, states
 from .ngrams import CLOUDS
 
@@ -26,6 +27,16 @@ def article_table(spark, d):
         "locationsfromarticle", F.array_join("locationsfromarticle", "|"))
 
 
+@register("article_cloud_text", f"""WITH {ARTICLES} SELECT CAST(label AS TINYINT) AS label, md5(array_to_string({words_sql('lower(article_text)')}, ' ')) AS text_md5,
+  CAST(year(date_clean) AS INT) AS year FROM articles""")
+def article_cloud_text(spark, d):
+    """The text of the word clouds as the term job saves it."""
+    path = shared_path(spark, "cloud-text")
+    rows = articles(spark, d).select("label", F.col("article_text").alias("cleaned_text"), F.year("date_clean").alias("year"))
+    writers.save_by_year(terms.cloud_text(rows), path)
+    return readers.read_wordcloud(spark, path, ["label", "text", "year"]).select("label", F.md5("text").alias("text_md5"), "year")
+
+
 @register("article_map")
 def article_map(spark, d):
     final, places = build(spark, d)

@@ -85,9 +85,9 @@ def read_typed(spark: SparkSession, path, schema: str, columns: Sequence[str], f
     return spark.read.schema(schema).format(fmt).load(path).select(*columns)
 
 
-def read_wordcloud(spark: SparkSession, path) -> DataFrame:
-    """(label, text) of the word-cloud table."""
-    return spark.read.schema(schemas.WORDCLOUD_TEXT).parquet(path).select("label", "text")
+def read_wordcloud(spark: SparkSession, path, columns: Sequence[str] = ("label", "text")) -> DataFrame:
+    """Columns of the word-cloud table."""
+    return spark.read.schema(schemas.WORDCLOUD_TEXT).parquet(path).select(*columns)
 
 
 def trim_headers(df: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Physical plans and whole jobs."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from articlespark.operators import joins, sampling
+from articlespark.operators import aggregates, joins, sampling
 from articlespark.plans import articles as job
-from articlespark.plans import textmodel
+from articlespark.plans import tabular, textmodel
 from articlespark.registry import whole
 from articlespark.sources import stages
 
@@ -114,3 +116,35 @@ def test_text_model_learns_separable_texts(spark, kind):
     assert test.filter("abs(prediction - label) > 0.5").count() == 0
     again = textmodel.train(df, kind, trees=5, depth=5, vocabulary=50)[1]
     assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_the_tabular_job_from_columns_to_reports(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        label, kind = i % 2, rng.choice("abc")
+        size = rng.gauss(5 + 3 * label, 1)
+        rows.append((i, label, kind, f"id{i}", size, size * 2 + 1, rng.random(), 1.0))
+    df = spark.createDataFrame(rows, "article_id long, label int, kind string, ident string, size double, double_size double, noise double, flat double")
+    selection = tabular.select_features(df, ["article_id", "label"], onehot=["kind", "ident"], numeric=["size", "double_size", "noise", "flat"])
+    table = {r["feature"]: r for r in selection.table.collect()}
+    # an identifier varies too little per value to be left, however many values it has
+    assert len(table) == 3 + 400 + 4 and sum(r["varied"] for r in table.values()) == 6
+    assert [n for n, r in table.items() if r["correlated"]] == ["double_size"] and not table["flat"]["varied"]
+    assert [n for _, n in selection.kept] == ["kind_a", "kind_b", "kind_c", "size", "noise"]
+    trained = tabular.train(selection, keep=2, trees=5, depth=4)
+    ranks = {r["feature"]: r["rank"] for r in trained.ranks.collect()}
+    assert sorted(ranks.values()) == [1, 1, 2, 3, 4] and ranks["size"] == 1
+    assert trained.importances.first()["feature"] == "size"
+    report = {(r["split"], r["class"]): r for r in tabular.reports(trained).collect()}
+    assert report["test", "accuracy"]["precision"] > 0.8 and trained.scored.count() == 400
+
+
+def test_map_levels_keep_real_nulls_apart_from_levels(spark):
+    rows = [(1, "x", "c", 1), (1, "y", "c", 0), (1, None, "c", 1), (2, "x", None, 1), (2, "x", "c", 7)]
+    df = spark.createDataFrame(rows, "year int, state string, country string, label int")
+    got = aggregates.map_counts_levels(df, {"state": ["year", "state", "country"], "country": ["year", "country"]}).collect()
+    assert {(r["level"], r["year"], r["state"], r["country"], r["fake_count"], r["real_count"]) for r in got} == {
+        ("state", 1, "x", "c", 0, 1), ("state", 1, "y", "c", 1, 0), ("country", 1, None, "c", 1, 2)}
+    with pytest.raises(ValueError):
+        aggregates.map_counts_levels(df, {"a": ["year"], "b": ["year"]})

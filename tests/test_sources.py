@@ -3,9 +3,11 @@
 import zipfile
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from articlespark.operators import ngrams
+from articlespark import runtime
+from articlespark.operators import charts, metrics, ngrams, profile, transformers
 from articlespark.sources import readers, stages, writers
 
 
@@ -112,3 +114,70 @@ def test_unknown_model_kind(spark):
     from articlespark.plans import textmodel
     with pytest.raises(ValueError):
         textmodel.train(spark.range(1), "clustering")
+
+
+def test_rows_are_numbered_in_file_order(spark, tmp_path):
+    for name, values in (("b", range(100, 2600)), ("a", range(3)), ("c", [9000])):
+        (tmp_path / f"{name}.csv").write_text("v\n" + "".join(f"{v}\n" for v in values))
+    rows = readers.numbered(spark.read.schema("v int").option("header", True).csv(str(tmp_path)).select("v"))
+    assert [r["v"] for r in rows.orderBy("ord").collect()] == [*range(3), *range(100, 2600), 9000]
+
+
+def test_more_test_files_keep_their_labels(spark, tmp_path):
+    files = {"fake": "title,text,subject,date\na,b,c,d\n", "true": "title,text,subject,date\ne,f,g,h\n",
+             "test": "title,text,subject,date,Column1,subject2,label\ni,j,k,l,,,1\n", "more": "label,Unnamed: 0,title,text,subject,date\n0,7,m,n,o,p\n"}
+    for name, content in files.items():
+        (tmp_path / f"{name}.csv").write_text(content)
+    fake, true, test = readers.read_raw_articles(spark, *[str(tmp_path / f"{n}.csv") for n in ("true", "fake", "test")], [str(tmp_path / "more.csv")])
+    assert fake.first()["title"] == "a" and true.first()["title"] == "e"
+    assert {(r["title"], r["label"]) for r in test.collect()} == {("i", 1), ("m", 0)} and "Unnamed: 0" not in test.columns
+
+
+def test_one_year_is_written_again(spark, tmp_path):
+    first = spark.createDataFrame([(2016, "a"), (2017, "b")], "year int, v string")
+    writers.save_by_year(first, str(tmp_path / "y"))
+    writers.save_by_year(first.filter("year = 2017").withColumn("v", F.lit("c")), str(tmp_path / "y"))
+    assert {(r["year"], r["v"]) for r in spark.read.parquet(str(tmp_path / "y")).collect()} == {(2016, "a"), (2017, "c")}
+    writers.save_by_year(first.filter("year = 2016"), str(tmp_path / "y"), only_given=False)
+    assert [r["year"] for r in spark.read.parquet(str(tmp_path / "y")).collect()] == [2016]
+
+
+def test_scratch_tables_go(spark):
+    scratch = runtime.Scratch()
+    with scratch:
+        kept = runtime.materialize(spark.range(3), "kept")
+    other = runtime.materialize(spark.range(4), "other")
+    scratch.free(spark)
+    with pytest.raises(Exception):
+        spark.read.schema("id long").parquet(kept.written_to).count()
+    assert other.count() == 4
+    runtime.discard(other)
+    with pytest.raises(Exception):
+        spark.read.schema("id long").parquet(other.written_to).count()
+
+
+def test_cleaning_stages_are_saved_with_their_pipeline(spark, tmp_path):
+    rows = spark.createDataFrame([("It's ON!", None), (None, "x, y")], "a string, b string")
+    stages_ = [transformers.TextCleaning(inputCol="a", outputCol="one"), transformers.TextPreprocessor(inputCols=["a", "b"], outputCol="two", separator="|")]
+    PipelineModel(stages_).write().overwrite().save(str(tmp_path / "p"))
+    got = PipelineModel.load(str(tmp_path / "p")).transform(rows).select("one", "two").collect()
+    assert sorted(map(tuple, got)) == [("", "|x y"), ("its on", "its on|")]
+
+
+def test_counts_of_the_write_and_approximate_profiles(spark):
+    rows = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 != 0, F.col("id") * 1.0).alias("v"), (F.col("id") % 2).alias("label"))
+    steps = {"given": F.col("v").isNotNull(), "large": F.col("v") > 500}
+    watched, seen = profile.watched(rows, steps)
+    runtime.materialize(watched, "rows")
+    assert sorted(profile.watched_counts(spark, seen, steps).collect()) == sorted(profile.stage_counts(rows, steps).collect())
+    exact, near = (profile.describe(rows, ["v"], approximate=a).first() for a in (False, True))
+    assert (near["count"], near["min"], near["max"], near["mean"]) == (exact["count"], exact["min"], exact["max"], pytest.approx(exact["mean"]))
+    assert all(abs(near[q] - exact[q]) <= 2 for q in ("p25", "p50", "p75"))
+    boxes = {r["label"]: r for r in charts.box(rows, "v", approximate=True).collect()}
+    assert boxes[0]["low"] == 2.0 and boxes[1]["high"] == 997.0 and boxes[0]["n_rows"] + boxes[1]["n_rows"] == 666
+
+
+def test_summary_of_a_report(spark):
+    rows = [(0, 0.0)] * 5 + [(0, 1.0)] + [(1, 1.0)] * 3 + [(1, 0.0)]
+    got = metrics.summary(spark.createDataFrame(rows, "label int, prediction double")).first()
+    assert got["accuracy"] == pytest.approx(0.8) and got["recall"] == pytest.approx(0.8) and got["precision"] == pytest.approx(0.8)
