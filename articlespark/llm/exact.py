@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize
+from ..runtime import materialize, small
 from .common import SPACES
 
 PREFIX_CHARS = 64
@@ -62,20 +62,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their exact copies, all columns kept; cases as in ``exact_groups``.
 
-    The first pass leaves a table of lengths and prefix hashes. Only documents whose length and prefix occur
-    again are hashed in full. Copies are reduced to one before the shuffle.
+    The first pass numbers the rows and leaves their lengths and prefix hashes. Only documents whose length, and then whose length and
+    prefix, occur again are read once more and hashed in full. What goes is decided on numbers; a text is shuffled only where
+    the numbers that go are too many to be broadcast.
     """
     norm = normalized(F.col(text_col))
-    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), norm.alias("norm")).select(
-        "row", "id", "norm", F.length("norm").alias("length"),
-        F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"))
-    heads = materialize(keyed.select("length", "prefix").groupBy("length", "prefix").agg(F.count("*").alias("n")), "heads")
+    numbered = materialize(docs.select(
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("number"), F.length(norm).alias("length"),
+        F.xxhash64(F.substring(norm, 1, PREFIX_CHARS)).alias("prefix")), "numbered")
+    heads = materialize(numbered.groupBy("length", "prefix").agg(F.count("*").alias("n")), "heads")
     lengths = heads.groupBy("length").agg((F.sum("n") > 1).alias("_again")).where("_again").drop("_again")
-    repeated = (heads.where("n > 1").join(lengths, "length", "left_semi")
-                .select("length", "prefix", F.lit(True).alias("_open")))
-    # a row that is alone with its length and prefix needs no digest: these two are its key
-    opened = keyed.join(repeated, ["length", "prefix"], "left").select(
-        "row", "id", F.when(F.col("_open"), F.sha2("norm", 256))
-        .otherwise(F.concat_ws(":", "length", "prefix")).alias("key"))
-    first = F.min_by("row", F.struct(F.col("id").isNull(), F.col("id")))
-    return opened.groupBy("key").agg(first.alias("row")).select("row.*")
+    repeated = small(materialize(heads.where("n > 1").join(lengths, "length", "left_semi").select("length", "prefix"), "repeated"))
+    hashed = materialize(numbered.join(repeated, ["length", "prefix"], "left_semi").select(
+        "id", "number", F.sha2(normalized(F.col(f"row.`{text_col}`")), 256).alias("sha")), "hashed")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number"))
+    kept = hashed.groupBy("sha").agg(first["number"].alias("number")).select("number")
+    gone = materialize(hashed.select("number").join(kept, "number", "left_anti"), "gone")
+    return numbered.join(small(gone), "number", "left_anti").select("row.*")
