@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import materialize, small
+from ..runtime import discard, materialize, small
 from .graph import components
 from .tokens import slices
 from .words import hash_shingles, hash_words, mixed
@@ -17,6 +17,8 @@ COUNTERS = 1 << 18
 COUNTER_BLOCK = 1 << 12
 # Sets whose list entries a task remembers having written, so that copies are not written again.
 REMEMBERED = 1 << 20
+# Bytes of text whose shingles are held at once; the arrays over them take some 100 times as much.
+SLICE_BYTES = 1 << 20
 # Parts of the hash range by which a set's shingles are counted; two sets share at most the sum of the smaller counts.
 PARTS = 64
 # Entries of a list that are compared together.
@@ -26,7 +28,7 @@ ENTRY = "token long, size int, place int, head boolean, c1 long, c2 long"
 
 def shingle_sets(texts: pa.Array, words: int):
     """(first row, hashes, owners, sizes): the distinct shingles of the texts, sorted by text and hash."""
-    for first, part in slices(texts):
+    for first, part in slices(texts, SLICE_BYTES):
         hashes, bounds = hash_shingles(*hash_words(part)[:2], words)
         owners = np.repeat(np.arange(len(part)), np.diff(bounds))
         order = np.lexsort((hashes, owners))
@@ -139,7 +141,7 @@ def with_pivots(lists: DataFrame, percent: int) -> DataFrame:
     weights = lists.groupBy("c1", "c2").agg(F.count("*").alias("weight"))
     ordered = Window.partitionBy("token", "band").orderBy(F.desc("weight"), "c1", "c2")
     first = F.first(F.struct("size", "place", "head", "c1", "c2")).over(ordered)
-    return lists.join(weights, ["c1", "c2"]).withColumn("band", band).withColumn("pivot", first).drop("weight", "band")
+    return lists.join(small(materialize(weights, "weights")), ["c1", "c2"]).withColumn("band", band).withColumn("pivot", first).drop("weight", "band")
 
 
 def may_link(a: str, b: str, percent: int):
@@ -154,8 +156,9 @@ def may_link(a: str, b: str, percent: int):
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(x, y, shared, apart): how many shingles the sets have in common, and their Jaccard distance."""
-    left = sets.select(F.col("node").alias("x"), F.col("shingles").alias("_x"))
-    right = sets.select(F.col("node").alias("y"), F.col("shingles").alias("_y"))
+    # each side moves only the sets that stand there
+    left = sets.select(F.col("node").alias("x"), F.col("shingles").alias("_x")).join(small(materialize(pairs.select("x").distinct(), "xs")), "x", "left_semi")
+    right = sets.select(F.col("node").alias("y"), F.col("shingles").alias("_y")).join(small(materialize(pairs.select("y").distinct(), "ys")), "y", "left_semi")
     both = pairs.join(left, "x").join(right, "y")
     shared = F.size(F.array_intersect("_x", "_y"))
     union = F.size("_x") + F.size("_y") - F.col("shared")
@@ -165,7 +168,8 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the wanted classes (node, id, c1, c2), each read from the text of one document."""
+    """(node, shingles) of the wanted classes (node, id, again, c1, c2), each read from the text of one document; ``again`` says that other rows
+    have its id too, of which one is taken."""
     def read(batches):
         for batch in batches:
             for _, hashes, _, sizes in shingle_sets(batch.column(1), words):
@@ -175,16 +179,21 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     [pa.array(c1), pa.array(c2), pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64)))],
                     ["c1", "c2", "shingles"])
 
-    ids = small(materialize(wanted.select(F.col("id").alias("_id")).distinct(), "wanted"))
-    texts = docs.join(ids, docs.id.eqNullSafe(ids._id), "left_semi")
-    found = texts.mapInArrow(read, "c1 long, c2 long, shingles array<long>")
-    one = found.join(wanted.select("node", "c1", "c2"), ["c1", "c2"]).groupBy("node").agg(F.first("shingles").alias("shingles"))
-    return one
+    def fetched(some: DataFrame) -> DataFrame:
+        ids = small(materialize(some.select(F.col("id").alias("_id")).distinct(), "ids"))
+        texts = docs.join(ids, docs.id.eqNullSafe(ids._id), "left_semi")
+        return texts.mapInArrow(read, "c1 long, c2 long, shingles array<long>").join(
+            small(materialize(some.select("node", "c1", "c2"), "wanted")), ["c1", "c2"]).select("node", "shingles")
+
+    out, again = fetched(wanted.where("NOT again")), wanted.where("again")
+    if again.isEmpty():
+        return out
+    return out.union(fetched(again).groupBy("node").agg(F.first("shingles").alias("shingles")))
 
 
 def mixed_lists(lists: DataFrame, classes: DataFrame, groups: DataFrame, known: DataFrame) -> DataFrame:
     """Entries of lists whose sets are not all in one group yet, with their group and distance to the pivot."""
-    nodes = classes.select("node", "c1", "c2", "parts")
+    nodes = classes.select("node", "c1", "c2")
     pivots = classes.select(F.col("node").alias("pivot_node"), F.col("c1").alias("p1"), F.col("c2").alias("p2"))
     entry = lists.select("token", "size", "place", "head", "c1", "c2", F.col("pivot.c1").alias("p1"), F.col("pivot.c2").alias("p2"))
     entry = (entry.join(nodes, ["c1", "c2"]).join(groups, "node", "left")
@@ -199,7 +208,7 @@ def mixed_lists(lists: DataFrame, classes: DataFrame, groups: DataFrame, known:
     return entry.join(told, ["node", "pivot_node"], "left").withColumn("apart", apart)
 
 
-def open_pairs(entries_: DataFrame, percent: int) -> DataFrame:
+def open_pairs(entries_: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(x, y) from different groups that share a list and may link, each list compared block by block.
 
     Blocks are runs of a list in the order of size. A pair of blocks is skipped if their sizes are too far apart, if even
@@ -224,11 +233,13 @@ def open_pairs(entries_: DataFrame, percent: int) -> DataFrame:
     once = (F.col("l.one") < F.col("l.other")) | (F.col("l.node") < F.col("r.node"))
     near = F.coalesce((F.col("l.pivot_node") != F.col("r.pivot_node"))
                       | (F.abs(F.col("l.apart") - F.col("r.apart")) <= 1 - percent / 100 + 1e-9), F.lit(True))
-    most = F.aggregate(F.zip_with("l.parts", "r.parts", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
-    enough = most * (100 + percent) >= (F.col("l.size") + F.col("r.size")) * percent
     pairs = left.join(right, key[0] & key[1] & key[2] & once & (F.col("l.component") != F.col("r.component"))
-                      & may_link("l", "r", percent) & near & enough)
-    return pairs.select(F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y")).distinct()
+                      & may_link("l", "r", percent) & near)
+    pairs = pairs.select(F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y")).distinct()
+    one, other = (classes.select(F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("parts").alias(f"{n}_parts")) for n in ("x", "y"))
+    most = F.aggregate(F.zip_with("x_parts", "y_parts", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    enough = most * (100 + percent) >= (F.col("x_size") + F.col("y_size")) * percent
+    return pairs.join(one, "x").join(other, "y").where(enough).select("x", "y")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -247,10 +258,14 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     described = materialize(describe(texts, words), "sets")
     rows = described.where("size IS NOT NULL").select("id", "size", "c1", "c2")
-    classes = materialize(described.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("parts").alias("parts"))
-                          .withColumn("node", F.monotonically_increasing_id()), "classes")
-    lists = materialize(shared_lists(entries(texts, words, percent, counters_of(described))), "lists")
-    lists = materialize(with_pivots(lists, percent), "lists")
+    repeated = rows.groupBy("id").count().where("count > 1").select(F.col("id").alias("_id"))
+    repeated = small(materialize(repeated, "repeated").withColumn("_again", F.lit(True)))
+    classes = described.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("parts").alias("parts"))
+    classes = classes.join(repeated, classes.id.eqNullSafe(F.col("_id")), "left").withColumn("again", F.coalesce("_again", F.lit(False)))
+    classes = materialize(classes.drop("_id", "_again").withColumn("node", F.monotonically_increasing_id()), "classes")
+    shared = materialize(shared_lists(entries(texts, words, percent, counters_of(described))), "lists")
+    lists = materialize(with_pivots(shared, percent), "lists")
+    discard(shared)
 
     def numbered(pairs: DataFrame) -> DataFrame:
         one = classes.select(F.col("node").alias("a"), "c1", "c2")
@@ -264,12 +279,15 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-        return materialize(fetch_sets(texts, materialize(classes.join(nodes, "node", "left_semi"), "wanted"), words), "shingles")
+        wanted = classes.join(nodes, "node", "left_semi").select("node", "id", "again", "c1", "c2")
+        return materialize(fetch_sets(texts, materialize(wanted, "wanted"), words), "shingles")
 
-    known = materialize(verify(first, sets_of(first), percent), "verified")
+    sets = sets_of(first)
+    known = materialize(verify(first, sets, percent), "verified")
+    discard(sets)
     groups = materialize(components(known.where("linked"), "x", "y"), "groups")
     rest = materialize(mixed_lists(lists, classes, groups, known), "open")
-    second = open_pairs(rest, percent)
+    second = open_pairs(rest, classes, percent)
     second = materialize(second.join(known, ["x", "y"], "left_anti"), "pairs")
     late = materialize(verify(second, sets_of(second), percent), "verified")
     links = known.where("linked").select("x", "y").union(late.where("linked").select("x", "y"))
@@ -291,4 +309,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = link_documents(docs, id_col, text_col, words, percent)
     gone = found.groupBy(F.col(id_col).alias("_gone")).agg(
         F.every(~F.col(id_col).eqNullSafe(F.col("component_id"))).alias("_all")).where("_all").select("_gone")
+    gone = small(materialize(gone, "gone"))
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")

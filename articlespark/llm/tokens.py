@@ -22,7 +22,7 @@ ASCII_RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
 OTHER_RUNS = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 # Words a worker remembers, so that its memory stays bounded; later ones are encoded each time they turn up.
 REMEMBERED = 400_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _encoders: dict[str, Encoder] = {}
 
