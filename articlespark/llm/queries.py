@@ -52,12 +52,16 @@ v AS (SELECT *, row_number() OVER o AS spot, coalesce(sum(source_size) OVER o -
       FROM w WINDOW o AS (ORDER BY source_size / weight, rank)),
 f AS (SELECT min(spot) AS spot, arg_min(level, spot) AS level FROM v WHERE 2 * source_size > weight * level),
 t AS (SELECT v.*, CASE WHEN v.spot >= f.spot THEN v.weight * f.level ELSE 2.0::DOUBLE * source_size END AS target FROM v, f),
-p AS (SELECT d.*, t.source_size, t.target,
+p AS (SELECT d.*, t.rank, t.source_size, t.target, row_number() OVER (PARTITION BY t.rank ORDER BY digest, size) AS spot,
              coalesce(sum(size) OVER (PARTITION BY t.rank ORDER BY digest, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-             AS start FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - source_size - start)))::BIGINT
-       AS taken FROM p""")
+             AS start FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, CASE WHEN size > 0 THEN (epoch * source_size + start + size)::DOUBLE / target END AS finish FROM p, range(2) r(epoch)),
+o AS (SELECT *, coalesce(sum(size) OVER (ORDER BY finish, rank, epoch, digest, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS position FROM e),
+b AS (SELECT floor(sum(size) * 1.5::DOUBLE) AS budget FROM d)
+SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
+       sum(CASE WHEN size > 0 THEN greatest(0, least(size, budget - position)) ELSE 0 END)::BIGINT AS taken
+FROM o, b GROUP BY doc_id, rank, spot""")
 def op1_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mixing.mix(materialize(docs, "sizes"), F.col("size"), F.col("doc_id"), weights=MIX_WEIGHTS,

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from cases import SCHEMA, odd_rows, prose, table
+from cases import SCHEMA, odd_rows, plain, prose, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -49,23 +49,55 @@ def test_mix_takes_its_targets_from_a_fixed_order(spark):
     mixed = mixing.mix(table(spark), word_count(F.col("text")), F.col("doc_id"), weights=(3, 1, 2), budget=1.5, max_repeats=2)
     got = mixed.select("row.doc_id", "row.source", "size", "epoch", "taken", "target", "finish", "position").collect()
     assert sum(r.epoch == 0 for r in got) == len(rows)
-    taken, wanted = collections.Counter(), collections.Counter()
+    taken = collections.Counter()
     for r in got:
         taken[r.source, r.doc_id, r.size] += r.taken
         assert r.target == pytest.approx(targets[r.source])
         assert 0 <= r.taken <= r.size and (r.finish is None) == (r.taken == 0)
-    for s, total in zip(sources, sizes, strict=True):
-        order = sorted(((hashlib.md5(f"mix{'' if r[0] is None else r[0]}".encode()).hexdigest(), size(r[1]), r[0])
-                        for r in rows if r[3] == s), key=lambda x: x[:2])
-        at = 0
-        for _, n, doc in order:
-            for epoch in range(2):
-                wanted[s, doc, n] += max(0, min(n, int(targets[s]) - epoch * total - at))
-            at += n
-    assert taken == wanted
+    assert taken == served(rows, targets, sources, int(1.5 * sum(sizes)))
     stream = sorted((r for r in got if r.taken), key=lambda r: r.position)
     assert [r.finish for r in stream] == sorted(r.finish for r in stream)
     assert [r.position for r in stream] == [0, *np.cumsum([r.taken for r in stream])[:-1].tolist()]
+    longest = max(size(r[1]) for r in rows)
+    for s, total in zip(sources, sizes, strict=True):
+        assert abs(sum(n for (source, _, _), n in taken.items() if source == s) - targets[s]) <= longest + 1
+
+
+def served(rows, targets, sources, budget):
+    """Words taken per row: all repeats in the order of their finish times, until the budget is spent."""
+    size = lambda t: len(WORD.findall(t or ""))
+    queue = []
+    for rank, s in enumerate(sources):
+        order = sorted(((hashlib.md5(f"mix{'' if r[0] is None else r[0]}".encode()).hexdigest(), size(r[1]), r[0])
+                        for r in rows if r[3] == s), key=lambda x: x[:2])
+        total = sum(n for _, n, _ in order)
+        for epoch in range(2):
+            at = epoch * total
+            for digest, n, doc in order:
+                at += n
+                if n:
+                    queue.append((at / targets[s], rank, epoch, digest, n, doc, s))
+    out, left = collections.Counter({(r[3], r[0], size(r[1])): 0 for r in rows}), budget
+    for *_, n, doc, s in sorted(queue, key=lambda x: x[:5]):
+        out[s, doc, n] += min(n, left)
+        left -= min(n, left)
+    return out
+
+
+def test_the_budget_cuts_inside_a_document(spark):
+    rows = [(i, " ".join(["w"] * 100), "en", "ab"[i % 2], 1) for i in range(8)]
+    mixed = mixing.mix(table(spark, rows), word_count(F.col("text")), F.col("doc_id"), weights=(1, 1), budget=0.41).collect()
+    # 328 words of 800: the fourth document in the order of finish times is under way when they are spent
+    assert sorted(r.taken for r in mixed if r.taken) == [28, 100, 100, 100]
+    assert [r.position for r in mixed if r.taken == 28] == [300]
+
+
+def test_documents_are_mixed_by_number(spark):
+    docs = table(spark)
+    options = {"weights": (3, 1, 2), "budget": 1.5, "max_repeats": 2}
+    whole = mixing.mixed_documents(mixing.mix(docs, word_count(F.col("text")), F.col("doc_id"), **options))
+    got = mixing.mix_documents(docs, word_count(F.col("text")), F.col("doc_id"), **options)
+    assert got.columns == whole.columns and plain(got) == plain(whole)
 
 
 def test_mixed_documents_repeat_and_cut(spark):
