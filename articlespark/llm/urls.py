@@ -17,11 +17,9 @@ RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/"
          ("net/es/", "block"), ("net/fr/", "block"))
 # The trees are fitted on this many labelled URLs, those with the smallest hashes.
 TRAINING_ROWS = 20_000
-# Pseudo-observations by which the block share of a rare suffix is drawn to that of all labelled URLs.
-SUFFIX_PRIOR = 10.0
 
 LEXICAL = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens")
-STATISTICS = ("suffix_urls", "suffix_block", "site_urls", "site_block", "section_urls", "section_block")
+STATISTICS = tuple(f"{key}_{kind}" for key in ("suffix", "site", "section") for kind in ("urls", "length", "digits"))
 
 
 def host_of(url: Column) -> Column:
@@ -55,7 +53,7 @@ def lexical_features(df: DataFrame) -> DataFrame:
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     names = F.split("host", r"\.")
     return df.withColumns({
-        "length": n, "host_length": F.length("host"), "path_length": F.length("path"),
+        "length": n, "digits": F.regexp_count(url, F.lit("[0-9]")), "host_length": F.length("host"), "path_length": F.length("path"),
         "depth": F.regexp_count("path", F.lit(r"/[^/]")), "labels": F.size(names),
         "digit_ratio": F.when(n > 0, F.regexp_count(url, F.lit("[0-9]")) / n).otherwise(0.0),
         "entropy": F.when(n > 0, entropy).otherwise(0.0),
@@ -65,13 +63,11 @@ def lexical_features(df: DataFrame) -> DataFrame:
 
 
 def suffix_statistics(urls: DataFrame, key: str) -> DataFrame:
-    """(key, urls, block): log count of all URLs, and the share of blocked ones among the labelled."""
-    total = urls.agg(F.avg("label").alias("share"), F.lit(1).alias("_one"))
-    counted = urls.groupBy(key).agg(F.log1p(F.count("*").cast("double")).alias(f"{key}_urls"), F.sum("label").alias("_sum"),
-                                    F.count("label").alias("_n"))
-    prior = F.coalesce(F.lit(total.first()["share"]), F.lit(0.5))
-    return counted.select(key, f"{key}_urls", ((F.coalesce("_sum", F.lit(0.0)) + SUFFIX_PRIOR * prior)
-                                               / (F.col("_n") + SUFFIX_PRIOR)).alias(f"{key}_block"))
+    """(key, urls, length, digits): log count of all URLs, their mean length and their share of digits. No label goes into them: a
+    URL that a rule fits would only tell its own verdict."""
+    n, length, digits = F.count("*"), F.sum("length"), F.sum("digits")
+    return urls.groupBy(key).agg(F.log1p(n.cast("double")).alias(f"{key}_urls"), (length / n).alias(f"{key}_length"),
+                                 F.when(length > 0, digits / length).otherwise(0.0).alias(f"{key}_digits"))
 
 
 def with_statistics(urls: DataFrame) -> DataFrame:
@@ -86,8 +82,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 rules: Sequence[tuple[str, str]] = RULES, training_rows: int = TRAINING_ROWS) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, block_score (of the trees).
 
-    URLs that fit a rule are the labelled ones. The trees learn from at most ``training_rows`` of them (all
-    statistics come from all URLs) and judge the URLs that fit none. A null URL, or one without ``://``, has
+    URLs that fit a rule are the labelled ones. The trees learn from at most ``training_rows`` of them, by the look of the URL and label-free
+    statistics of its suffixes over all URLs, and judge the URLs that fit none. A null URL, or one without ``://``, has
     an empty host and path, and so no rule. With labels of one kind only, that kind is the verdict; with
     none, everything is allowed. Repeated rows get equal results; an empty table gives no rows.
     """
