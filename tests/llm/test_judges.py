@@ -1,14 +1,18 @@
 """Quality classifier, URL filter, license scan and perspective rotation."""
 
 import collections
+import math
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from cases import SCHEMA, odd_rows, prose, table
 from pyspark.sql import functions as F
 
 from articlespark.llm import chat, licenses, quality, urls
+from articlespark.llm.words import hash_words, mixed
 
 
 def labelled(n=400, seed=8):
@@ -48,6 +52,81 @@ def test_a_sparse_site_is_drawn_to_the_share_of_all(spark):
     assert share["bad"] < share["bad-too"] < share["s0"] + 0.1
 
 
+def plain_features(text):
+    """{index: value} by counting in plain Python."""
+    raw = (text or "").encode()
+    words_ = [w for w in re.split(rb"[\x20\x09-\x0D]+", raw) if w]
+    kinds = collections.Counter(next((k for k, letters in quality.KINDS.items() if chr(b) in letters), "beyond_ascii" if b > 127 else "spaces") for b in raw)
+    n, letters = max(len(words_), 1), max(kinds["upper"] + kinds["lower"] + kinds["beyond_ascii"] / 2, 1)
+    solid = max(len(raw) - kinds["spaces"] - kinds["lines"], 1)
+    repeats = sum(a.lower() == b.lower() for a, b in zip(words_, words_[1:]))
+    out = dict(enumerate([np.log1p(len(words_)), solid / n, kinds["upper"] / letters, kinds["digits"] / solid, kinds["marks"] / n, kinds["shouts"] / n,
+                          kinds["bars"] / n, kinds["symbols"] / n, kinds["lines"] / n, kinds["beyond_ascii"] / solid, repeats / n]))
+    one = lambda w: int(hash_words(pa.array([w.decode()], pa.large_string()))[0][0])
+    grams = [int(mixed(np.array([int.from_bytes(raw[i:i + 4], "little")], np.uint64))[0]) for i in range(len(raw) - 3)]
+    for offset, hashes in ((0, map(one, words_)), (quality.BUCKETS, grams)):
+        counts = collections.Counter(h % quality.BUCKETS for h in hashes)
+        norm = math.sqrt(sum(math.log1p(x) ** 2 for x in counts.values()))
+        out |= {len(quality.SHAPES) + offset + b: math.log1p(x) / norm for b, x in counts.items()}
+    return {i: v for i, v in out.items() if v}
+
+
+def test_features_and_margins_equal_plain_counts(monkeypatch):
+    texts = ["", None, "Hello hello World! 12 | # x", " \t ", "é😀 ab\nab ab", "a", "||||"]
+    for most in (quality.COUNTED_TEXTS, 0):  # both ways of counting
+        monkeypatch.setattr(quality, "COUNTED_TEXTS", most)
+        (_, _, owner, index, value), = quality.text_features(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert {int(k): v for k, v in zip(index[owner == i], value[owner == i]) if v} == pytest.approx(plain_features(text))
+    rnd, shapes = np.random.default_rng(1), len(quality.SHAPES)
+    weights = quality.Weights(rnd.normal(size=shapes + 2), 0.3, rnd.normal(size=2 * quality.BUCKETS), 0.7)
+    odds, n = weights.margins(pa.array(texts))
+    for text, margin, words_ in zip(texts, odds, n, strict=True):
+        found = plain_features(text)
+        want = 0.3 + sum(weights.coefficients[i] * v for i, v in found.items() if i < shapes)
+        for block in (0, 1):
+            own = {i - shapes: v for i, v in found.items() if i >= shapes and (i - shapes) // quality.BUCKETS == block}
+            if own:
+                want += weights.coefficients[shapes + block] * sum(v * weights.odds[i] for i, v in own.items()) / sum(own.values())
+        assert margin == pytest.approx(want)
+        assert words_ == len((text or "").split())
+    sums = np.abs(rnd.normal(size=(2, 2 * quality.BUCKETS)))
+    part = sums[:, quality.BUCKETS:] + 1
+    assert quality.bucket_odds(sums)[quality.BUCKETS + 5] == pytest.approx(math.log(part[1, 5] / part[1].sum()) - math.log(part[0, 5] / part[0].sum()))
+
+
+def test_posteriors_and_scores_equal_plain_sums(spark):
+    rows, labels = labelled(300)
+    rows = [(i, t, None if i % 9 == 0 else f"l{i % 3}", s, n) for i, t, _, s, n in rows] + [
+        (None if r[0] is None else r[0] + 10_000, *r[1:]) for r in odd_rows()]
+    got = quality.classify(table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    sites, sections = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        sites[r.site].append(r.chance)
+        sections[r.site, r.path].append(r.chance)
+    n = len(got)
+    mean = sum(r.chance for r in got) / n
+
+    def worth(noise, spread, groups):
+        between = spread - noise * groups / n
+        return min(max(noise / between - 1, 2.0), 1000.0) if between > 0 else 1000.0
+
+    share = {s: sum(v) / len(v) for s, v in sites.items()}
+    site_worth = worth(mean * (1 - mean), sum(len(v) * (share[s] - mean) ** 2 for s, v in sites.items()) / n, len(sites))
+    section_worth = worth(sum(len(v) * share[s] * (1 - share[s]) for (s, _), v in sections.items()) / n,
+                          sum(len(v) * (sum(v) / len(v) - share[s]) ** 2 for (s, _), v in sections.items()) / n, len(sections) - len(sites))
+    text = {r[0]: r[1] for r in rows}
+    for r in got:
+        site = (max(0, sum(sites[r.site]) - r.chance) + site_worth * mean) / (len(sites[r.site]) - 1 + site_worth)
+        section = (max(0, sum(sections[r.site, r.path]) - r.chance) + section_worth * site) / (len(sections[r.site, r.path]) - 1 + section_worth)
+        held = min(max(section, 1e-4), 1 - 1e-4)
+        score = 1 / (1 + math.exp(-(math.log(held / (1 - held)) + r.evidence)))
+        assert (r.site_share, r.section_share) == pytest.approx((site, section))
+        if r.doc_id is not None:
+            assert r.score == pytest.approx(score if (text[r.doc_id] or "").split() else 0.0)
+        assert r.kept == (r.score >= 0.5)
+
+
 def test_odd_documents_and_missing_labels(spark):
     schema = "doc_id long, quality int, toxic int"
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (8, 1, 0), (9, None, 1), (77777, 0, 0), (None, 1, 0)], schema)
@@ -117,6 +196,21 @@ def test_trees_learn_held_out_urls(spark):
     assert len(free) > 100 and sum((got[i].verdict == "block") == bad for i, bad in free) >= 0.95 * len(free)
 
 
+def test_the_look_of_a_url_decides_on_the_given_pages(spark, sf_dir):
+    """The trees give free URLs more than one score, and are right on hosts whose rules they have not seen."""
+    pages = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/pages.parquet")
+    every = urls.filter_urls(pages).cache()
+    assert every.where("rule IS NULL").select("block_score").distinct().count() > 1
+    hosts = sorted(r.host for r in every.where("host LIKE '%.com' AND host NOT LIKE 'www.%'").select("host").distinct().collect())
+    rules = [rule for host in hosts[::2] for rule in ((f"{host}/", "allow"), (f"{host}/en/", "block"))]
+    held = urls.filter_urls(pages, rules=rules).where(F.col("host").isin(hosts[1::2]))
+    right = (F.col("verdict") == "block") == F.col("path").startswith("/en/")
+    assert held.count() > 100 and held.where("rule IS NOT NULL").count() == 0
+    share = held.agg(F.avg(right.cast("double"))).first()[0]
+    print("held-out hosts judged right:", share)
+    assert share >= 0.9
+
+
 def test_urls_without_labels_of_both_kinds(spark):
     schema = "page_id long, url string"
     pages = spark.createDataFrame([(1, "http://a.com/"), (2, "http://b.org/")], schema)
