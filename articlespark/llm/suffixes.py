@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,10 +16,12 @@ from .words import hash_shingles, hash_words, mixed
 PREFIX, RANKED = 20, 5
 # Neighbours on either side that a suffix is compared with.
 NEIGHBOURS = 4
+# Rows of a frequent key that are carried from one batch to the next.
+HELD = 10_000
 SUFFIX = ["key", "right", "left", "c1", "c2", "pos"]
 ENTRY = "key long, right binary, left binary, c1 long, c2 long, pos int, back int, n int"
 MATCH = "c1 long, c2 long, start int, stop int, o1 long, o2 long, key long"
-BORDER = "right binary, left binary, border boolean"
+BORDER = "right binary, left binary, border boolean, part int, tail boolean"
 
 
 class Sparse:
@@ -197,7 +200,8 @@ def sorted_matches(suffixes: DataFrame, least: int, order: list[str]) -> DataFra
     """Compare the neighbours of the sorted suffixes: MATCH rows, and rows of ``border`` with a suffix each.
 
     The sort is global, so that a frequent suffix is spread over tasks. The rows at both ends of each range are handed on,
-    to be compared once more across the border.
+    to be compared once more across the border; of a key with so many rows that its windows are compared by hash, none are, and no
+    more than HELD from one batch to the next.
     """
     def tasks(batches):
         held, first = None, True
@@ -207,21 +211,28 @@ def sorted_matches(suffixes: DataFrame, least: int, order: list[str]) -> DataFra
             fresh = 0 if held is None else held.num_rows
             rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             if first:
-                yield handed_on(ends(rows, True))
+                yield handed_on(narrow(ends(rows, True)), False)
                 first = False
             found = compare(rows, least, fresh)
             if found is not None:
                 n = found.num_rows
-                yield pa.RecordBatch.from_arrays(found.columns + [pa.nulls(n, pa.binary())] * 2 + [pa.array([False] * n)], names)
+                yield pa.RecordBatch.from_arrays(found.columns + [pa.nulls(n, pa.binary())] * 2 + [
+                    pa.array([False] * n), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_())], names)
             held = ends(rows, False)
+            held = held.slice(max(0, held.num_rows - HELD))
         if held is not None:
-            yield handed_on(held)
+            yield handed_on(narrow(held), True)
 
-    def handed_on(rows):
+    def narrow(rows):
+        # a key with more rows than that is wide, and its windows are compared by hash as well
+        return rows if rows.num_rows <= NEIGHBOURS + 1 else rows.slice(0, 0)
+
+    def handed_on(rows, tail):
         n, columns = rows.num_rows, dict(zip(rows.schema.names, rows.columns, strict=True))
         return pa.RecordBatch.from_arrays(
             [columns["c1"], columns["c2"], columns["pos"], pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-             columns["key"], columns["right"], columns["left"], pa.array([True] * n)], names)
+             columns["key"], columns["right"], columns["left"], pa.array([True] * n, pa.bool_()),
+             pa.array([TaskContext.get().partitionId()] * n, pa.int32()), pa.array([tail] * n, pa.bool_())], names)
 
     names = [c.split()[0] for c in f"{MATCH}, {BORDER}".split(", ")]
     ranged = suffixes.repartitionByRange(shuffle_width(suffixes.sparkSession), *order).sortWithinPartitions(*order)
@@ -242,16 +253,19 @@ def ends(rows: pa.RecordBatch, head: bool) -> pa.RecordBatch:
 
 
 def border_matches(border: DataFrame, least: int, order: list[str]) -> DataFrame:
-    """Compare what the ranges handed on: a few rows for each of them, in one task."""
-    def task(batches):
-        rows = list(batches)
-        if sum(r.num_rows for r in rows):
-            found = compare(pa.Table.from_batches(rows).combine_chunks().to_batches()[0], least, 0)
-            if found is not None:
-                yield found
+    """Compare what the ranges handed on, border by border: the last rows of one range with the first of the next, a few of each."""
+    def task(rows: pa.Table) -> pa.Table:
+        rows = rows.drop_columns(["edge"]).sort_by([(c, "ascending") for c in order]).combine_chunks()
+        found = compare(rows.to_batches()[0], least, 0)
+        return pa.Table.from_batches([] if found is None else [found], schema)
 
-    rows = border.select("key", "right", "left", "c1", "c2", F.col("start").alias("pos"))
-    return rows.repartition(1).sortWithinPartitions(*order).mapInArrow(task, MATCH)
+    types = {"long": pa.int64(), "int": pa.int32()}
+    schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in MATCH.split(", ")])
+    # ranges that hold rows, in order: no more than there are partitions
+    ranges = border.select("part").distinct().withColumn("range", F.row_number().over(Window.orderBy("part")))
+    edge = F.col("range") + F.col("tail").cast("int")
+    rows = border.join(F.broadcast(ranges), "part").select(edge.alias("edge"), "key", "right", "left", "c1", "c2", F.col("start").alias("pos"))
+    return rows.groupBy("edge").applyInArrow(task, MATCH)
 
 
 def repeated_windows(suffixes: DataFrame, least: int) -> DataFrame:
@@ -284,21 +298,22 @@ def repeated_windows(suffixes: DataFrame, least: int) -> DataFrame:
 
 
 def merged(matches: DataFrame) -> DataFrame:
-    """(c1, c2, start, stop, o1, o2): overlapping matches of a text as one span, with the text of its longest match."""
+    """(c1, c2, start, stop, o1, o2): overlapping matches of a text as one span, with the text of the match that opens it, of several the
+    longest."""
     order = Window.partitionBy("c1", "c2").orderBy("start", "stop")
     before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(F.col("before").isNull() | (F.col("start") > F.col("before")), 1).otherwise(0)
     cut = matches.withColumn("before", before).withColumn("new", new).withColumn("span", F.sum("new").over(order))
-    longest = F.max(F.struct((F.col("stop") - F.col("start")).alias("n"), "o1", "o2"))
-    return cut.groupBy("c1", "c2", "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), longest.alias("o")).select(
+    opening = F.min(F.struct("start", (-F.col("stop")).alias("n"), "o1", "o2"))
+    return cut.groupBy("c1", "c2", "span").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), opening.alias("o")).select(
         "c1", "c2", "start", "stop", F.col("o.o1").alias("o1"), F.col("o.o2").alias("o2"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 50) -> DataFrame:
     """One row per passage of at least ``least`` words that a document shares with another one:
 
-    id, start_word, n_words, other_id (a document that has the longest part of it). Words are runs without white space, A-Z
-    lower-cased. Documents without such a passage have no row.
+    id, start_word, n_words, other_id (a document that has at least its first ``least`` words; of those it was compared with, one that
+    has the most from there on). Words are runs without white space, A-Z lower-cased. Documents without such a passage have no row.
 
     Equal texts are one text in the suffix array; all of it is a passage of each. Of every other text the suffixes at minimiser
     positions are kept. Those whose first words occur in two texts are sorted by the words after them, compared with the
@@ -317,11 +332,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = found.where("n IS NOT NULL").select("id", "n", "c1", "c2")
     classes = materialize(rows.groupBy("c1", "c2").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("n").alias("n"),
                                                        F.count("*").alias("copies")), "texts")
-    whole = Window.partitionBy("key")
     kept = found.where("key IS NOT NULL").select("key", "c1", "c2", "pos")
-    shared = (kept.withColumns({"_low": F.min("c1").over(whole), "_high": F.max("c1").over(whole)}).where("_low != _high")
-              .select("key", "c1", "c2", "pos").distinct())
-    shared = materialize(shared, "shared")
+    # counted before the shuffle; the join that follows splits a frequent key
+    again = kept.groupBy("key").agg((F.min("c1") != F.max("c1")).alias("_again")).where("_again").select("key")
+    shared = materialize(kept.join(again, "key", "left_semi"), "shared")
     places = shared.groupBy("c1", "c2").agg(F.sort_array(F.collect_set("pos")).alias("places"))
     wanted = materialize(places.join(classes, ["c1", "c2"]).select("places", "c1", "c2", F.col("low").alias("_id")), "wanted")
     chosen = texts.join(small(wanted), texts.id.eqNullSafe(F.col("_id"))).select("text", "places", "c1", "c2")

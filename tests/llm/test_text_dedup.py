@@ -157,8 +157,8 @@ def test_repeated_passages(spark, least):
         by_id[r[0]].append(" ".join(words(r[1])))
     for r in got:
         if r.doc_id is not None and len(by_id[r.doc_id]) == 1:
-            window = " ".join(by_id[r.doc_id][0].split()[r.start_word:][:1])
-            assert r.other_id is None or any(window in t for t in by_id[r.other_id])
+            window = " ".join(by_id[r.doc_id][0].split()[r.start_word:][:least])
+            assert r.other_id is None or any(f" {window} " in f" {t} " for t in by_id[r.other_id])
 
 
 def test_many_texts_with_one_passage_cross_ranges_and_neighbour_limits(spark):
@@ -183,6 +183,16 @@ def test_a_text_that_repeats_a_prefix_does_not_part_two_others(spark):
     assert collections.Counter((r.doc_id, r.start_word, r.n_words) for r in got) == spans(rows, 50)
 
 
+def test_a_key_that_fills_whole_ranges(spark):
+    import random
+    rnd = random.Random(8)
+    notice = prose(rnd, 45)
+    rows = [(n, " ".join([prose(rnd, 12), notice, prose(rnd, 3) if n % 2 else "the same end of it here", prose(rnd, 12)]), "en", "a", 1) for n in range(60)]
+    rows += [(100, " ".join(f"{notice} {prose(rnd, 4)}" for _ in range(300)), "en", "a", 1)]
+    got = suffixes.repeated_passages(table(spark, rows, clashing=False)).collect()
+    assert collections.Counter((r.doc_id, r.start_word, r.n_words) for r in got) == spans(rows, 50)
+
+
 def test_a_match_elsewhere_does_not_hide_a_distant_one(spark):
     """Texts around a notice that all have some match under its suffix, in which two share another window far apart in both orders."""
     import random
