@@ -193,7 +193,7 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 def mixed_lists(lists: DataFrame, classes: DataFrame, groups: DataFrame, known: DataFrame) -> DataFrame:
     """Entries of lists whose sets are not all in one group yet, with their group and distance to the pivot."""
-    nodes = classes.select("node", "c1", "c2")
+    nodes = classes.select("node", "c1", "c2", "parts")
     pivots = classes.select(F.col("node").alias("pivot_node"), F.col("c1").alias("p1"), F.col("c2").alias("p2"))
     entry = lists.select("token", "size", "place", "head", "c1", "c2", F.col("pivot.c1").alias("p1"), F.col("pivot.c2").alias("p2"))
     entry = (entry.join(nodes, ["c1", "c2"]).join(groups, "node", "left")
@@ -208,7 +208,7 @@ def mixed_lists(lists: DataFrame, classes: DataFrame, groups: DataFrame, known:
     return entry.join(told, ["node", "pivot_node"], "left").withColumn("apart", apart)
 
 
-def open_pairs(entries_: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def open_pairs(entries_: DataFrame, percent: int) -> DataFrame:
     """(x, y) from different groups that share a list and may link, each list compared block by block.
 
     Blocks are runs of a list in the order of size. A pair of blocks is skipped if their sizes are too far apart, if even
@@ -233,13 +233,12 @@ def open_pairs(entries_: DataFrame, classes: DataFrame, percent: int) -> DataFra
     once = (F.col("l.one") < F.col("l.other")) | (F.col("l.node") < F.col("r.node"))
     near = F.coalesce((F.col("l.pivot_node") != F.col("r.pivot_node"))
                       | (F.abs(F.col("l.apart") - F.col("r.apart")) <= 1 - percent / 100 + 1e-9), F.lit(True))
+    most = F.aggregate(F.zip_with("l.parts", "r.parts", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+    enough = most * (100 + percent) >= (F.col("l.size") + F.col("r.size")) * percent
+    # a pair that the counts rule out is not written, whatever the size of its group
     pairs = left.join(right, key[0] & key[1] & key[2] & once & (F.col("l.component") != F.col("r.component"))
-                      & may_link("l", "r", percent) & near)
-    pairs = pairs.select(F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y")).distinct()
-    one, other = (classes.select(F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("parts").alias(f"{n}_parts")) for n in ("x", "y"))
-    most = F.aggregate(F.zip_with("x_parts", "y_parts", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
-    enough = most * (100 + percent) >= (F.col("x_size") + F.col("y_size")) * percent
-    return pairs.join(one, "x").join(other, "y").where(enough).select("x", "y")
+                      & may_link("l", "r", percent) & near & enough)
+    return pairs.select(F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y")).distinct()
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -260,7 +259,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = described.where("size IS NOT NULL").select("id", "size", "c1", "c2")
     repeated = rows.groupBy("id").count().where("count > 1").select(F.col("id").alias("_id"))
     repeated = small(materialize(repeated, "repeated").withColumn("_again", F.lit(True)))
-    classes = described.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("parts").alias("parts"))
+    classes = described.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("parts").alias("parts"))
     classes = classes.join(repeated, classes.id.eqNullSafe(F.col("_id")), "left").withColumn("again", F.coalesce("_again", F.lit(False)))
     classes = materialize(classes.drop("_id", "_again").withColumn("node", F.monotonically_increasing_id()), "classes")
     shared = materialize(shared_lists(entries(texts, words, percent, counters_of(described))), "lists")
@@ -287,7 +286,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     discard(sets)
     groups = materialize(components(known.where("linked"), "x", "y"), "groups")
     rest = materialize(mixed_lists(lists, classes, groups, known), "open")
-    second = open_pairs(rest, classes, percent)
+    second = open_pairs(rest, percent)
     second = materialize(second.join(known, ["x", "y"], "left_anti"), "pairs")
     late = materialize(verify(second, sets_of(second), percent), "verified")
     links = known.where("linked").select("x", "y").union(late.where("linked").select("x", "y"))
