@@ -125,6 +125,24 @@ def nonzero_stats(count: Column, condition: Column, suffix: str, places: int = 4
     ]
 
 
+def count_sums(count: Column, condition: Column, suffix: str) -> list[Column]:
+    """What the statistics of positive counts follow from, all whole numbers: their sum, number, largest and sum of squares."""
+    c = F.when(condition & (count > 0), count.cast("bigint"))
+    return [F.coalesce(F.sum(c), F.lit(0)).alias(f"count_{suffix}"), F.count(c).alias(f"_n_{suffix}"),
+            F.coalesce(F.max(c), F.lit(0)).alias(f"max_{suffix}"), F.sum(c * c).alias(f"_squares_{suffix}")]
+
+
+def stats_of_sums(suffix: str, places: int = 4) -> list[Column]:
+    """The columns of ``nonzero_stats`` from those of ``count_sums``; the deviation's radicand is exact."""
+    n, total = F.col(f"_n_{suffix}"), F.col(f"count_{suffix}")
+    whole = "decimal(38,0)"
+    spread = n.cast(whole) * F.col(f"_squares_{suffix}").cast(whole) - total.cast(whole) * total.cast(whole)
+    none = F.lit(0.0)
+    return [F.col(f"max_{suffix}"),
+            ms.round_half_even(F.when(n > 0, total / n).otherwise(none), places).alias(f"mean_{suffix}"),
+            ms.round_half_even(F.when(n > 0, F.sqrt(spread.cast("double")) / n).otherwise(none), places).alias(f"stdev_{suffix}")]
+
+
 def class_words(df: DataFrame, tokens: Column, label: str = "label") -> DataFrame:
     """Counted words per class: (label, word, cnt). Stands for the class's concatenated text."""
     return (df.dropna(subset=[label]).select(F.col(label).alias("label"), F.explode(tokens).alias("word"))

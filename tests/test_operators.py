@@ -260,3 +260,22 @@ def test_headers_are_trimmed_and_required(spark):
 def test_date_bounds(spark):
     df = spark.createDataFrame([(dtm.date(2015, 5, 1),), (dtm.date(2017, 2, 1),), (None,)], "d date")
     assert tuple(aggregates.date_bounds(df, "d").first())[2:] == (2015, 2017)
+
+
+def test_article_terms_count_runs_of_words_in_the_row(spark):
+    texts = [(1, 1, "the of the of cat"), (2, 0, ""), (3, None, None), (4, 1, "cat")]
+    df = spark.createDataFrame(texts, "id int, label int, text string")
+    words = F.split("text", " ")
+    got = {tuple(r) for r in ngrams.article_terms(df, ["id", "label"], {1: words, 2: words, 3: words}, ["the", "of"]).collect() if r["term"]}
+    assert got == {(1, 1, 1, "the", 2), (1, 1, 1, "of", 2), (1, 1, 1, "cat", 1), (1, 1, 2, "of cat", 1), (1, 1, 3, "the of cat", 1), (4, 1, 1, "cat", 1)}
+
+
+def test_term_summary_from_whole_sums(spark):
+    rows = [(1, c) for c in (1, 2, 2, 7)] + [(0, 3), (0, 3), (None, 9)]
+    terms = spark.createDataFrame([(label, 1, "w", c) for label, c in rows], "label int, ngram_size int, term string, cnt int")
+    out = ngrams.summarize_terms(terms, [])
+    # a moment per class and term is a buffer of doubles for every term; whole sums are enough
+    assert "stddev" not in out._jdf.queryExecution().optimizedPlan().toString()
+    r = out.first()
+    assert (r["count_real"], r["max_real"], r["mean_real"], r["stdev_real"]) == (12, 7, 3.0, round(statistics.pstdev([1, 2, 2, 7]), 4))
+    assert (r["count_dubious"], r["max_dubious"], r["mean_dubious"], r["stdev_dubious"]) == (6, 3, 3.0, 0.0)
