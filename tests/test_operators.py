@@ -279,3 +279,15 @@ def test_term_summary_from_whole_sums(spark):
     r = out.first()
     assert (r["count_real"], r["max_real"], r["mean_real"], r["stdev_real"]) == (12, 7, 3.0, round(statistics.pstdev([1, 2, 2, 7]), 4))
     assert (r["count_dubious"], r["max_dubious"], r["mean_dubious"], r["stdev_dubious"]) == (6, 3, 3.0, 0.0)
+
+
+def test_power_fit_sums_a_task_at_once(spark):
+    rng = random.Random(3)
+    values = [rng.gauss(0, 2) ** 3 for _ in range(400)] + [0.0, -1.0, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    grid = [-1.0, 0.0, 0.7, 2.0]
+    n, total, found = features._power_moments(df.select(F.col("v").alias("x")).dropna(), grid)
+    assert n == 402 and total == pytest.approx(df.agg(F.sum(F.signum("v") * F.log1p(F.abs("v")))).first()[0])
+    assert found == pytest.approx(list(df.agg(*[F.var_pop(features.yeo_johnson(F.col("v"), x)) for x in grid]).first()))
+    assert features._power_moments(df.filter("v > 1e9").select(F.col("v").alias("x")), grid)[0] == 0
+    assert features.fit_yeo_johnson(df.filter("v IS NULL"), "v") == 1.0
