@@ -23,6 +23,8 @@ SLICE_BYTES = 1 << 20
 PARTS = 64
 # Entries of a list that are compared together.
 BLOCK = 1024
+# Entries up to which a list's pairs are formed before their counts by part are looked up; in longer lists each entry brings them along.
+SHORT = 32
 ENTRY = "token long, size int, place int, head boolean, c1 long, c2 long"
 
 
@@ -134,14 +136,16 @@ def shared_lists(listed: DataFrame) -> DataFrame:
             .where("_low != _high").drop("_low", "_high"))
 
 
-def with_pivots(lists: DataFrame, percent: int) -> DataFrame:
-    """Add to each entry its ``pivot``: of the sets of its list in the same size band, whose sizes allow a link, the one
-    that stands in most lists. A text that others vary shares its shingles with them, a variant has its own too."""
+def with_pivots(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The entries with the number of their set (``node``) in place of its names, and their ``pivot``: of the sets of its list in
+    the same size band, whose sizes allow a link, the one that stands in most lists. A text that others vary shares its shingles
+    with them, a variant has its own too."""
     band = F.floor(F.log("size") / -np.log(percent / 100) + 1e-9).cast("int")
-    weights = lists.groupBy("c1", "c2").agg(F.count("*").alias("weight"))
-    ordered = Window.partitionBy("token", "band").orderBy(F.desc("weight"), "c1", "c2")
-    first = F.first(F.struct("size", "place", "head", "c1", "c2")).over(ordered)
-    return lists.join(small(materialize(weights, "weights")), ["c1", "c2"]).withColumn("band", band).withColumn("pivot", first).drop("weight", "band")
+    numbered = lists.join(classes.select("node", "c1", "c2"), ["c1", "c2"]).withColumn(
+        "weight", F.count("*").over(Window.partitionBy("c1", "c2"))).drop("c1", "c2")
+    ordered = Window.partitionBy("token", "band").orderBy(F.desc("weight"), "node")
+    first = F.first(F.struct("node", "size", "place", "head")).over(ordered)
+    return numbered.withColumn("band", band).withColumn("pivot", first).drop("weight", "band")
 
 
 def may_link(a: str, b: str, percent: int):
@@ -154,12 +158,30 @@ def may_link(a: str, b: str, percent: int):
             & ((place(a) + place(b)) * (100 + percent) <= (size(a) + size(b)) * (100 - percent)))
 
 
+def most_shared(a: str, b: str):
+    """How many shingles two sets share at most, by their counts by part of the hash range."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
+
+
+def weigh(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(x, y, open, apart): whether the counts by part leave a link open, and the least Jaccard distance they leave."""
+    def side(name: str) -> DataFrame:
+        wanted = small(materialize(pairs.select(F.col(name).alias("node")).distinct(), f"{name}s"))
+        return classes.join(wanted, "node", "left_semi").select(
+            F.col("node").alias(name), F.col("size").alias(f"{name}_size"), F.col("parts").alias(f"{name}_parts"))
+
+    both = small(pairs).join(side("x"), "x").join(side("y"), "y").withColumn("most", most_shared("x_parts", "y_parts"))
+    sizes = F.col("x_size") + F.col("y_size")
+    return both.select("x", "y", (F.col("most") * (100 + percent) >= sizes * percent).alias("open"),
+                       (1 - F.col("most") / (sizes - F.col("most"))).alias("apart"))
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(x, y, shared, apart): how many shingles the sets have in common, and their Jaccard distance."""
+    """(x, y, linked, apart): whether the sets link, and their Jaccard distance."""
     # each side moves only the sets that stand there
     left = sets.select(F.col("node").alias("x"), F.col("shingles").alias("_x")).join(small(materialize(pairs.select("x").distinct(), "xs")), "x", "left_semi")
     right = sets.select(F.col("node").alias("y"), F.col("shingles").alias("_y")).join(small(materialize(pairs.select("y").distinct(), "ys")), "y", "left_semi")
-    both = pairs.join(left, "x").join(right, "y")
+    both = small(pairs).join(left, "x").join(right, "y")
     shared = F.size(F.array_intersect("_x", "_y"))
     union = F.size("_x") + F.size("_y") - F.col("shared")
     return both.withColumn("shared", shared).withColumn("union", union).select(
@@ -191,33 +213,43 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return out.union(fetched(again).groupBy("node").agg(F.first("shingles").alias("shingles")))
 
 
-def mixed_lists(lists: DataFrame, classes: DataFrame, groups: DataFrame, known: DataFrame) -> DataFrame:
-    """Entries of lists whose sets are not all in one group yet, with their group and distance to the pivot."""
-    nodes = classes.select("node", "c1", "c2", "parts")
-    pivots = classes.select(F.col("node").alias("pivot_node"), F.col("c1").alias("p1"), F.col("c2").alias("p2"))
-    entry = lists.select("token", "size", "place", "head", "c1", "c2", F.col("pivot.c1").alias("p1"), F.col("pivot.c2").alias("p2"))
-    entry = (entry.join(nodes, ["c1", "c2"]).join(groups, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")).drop("c1", "c2"))
+def mixed_lists(lists: DataFrame, groups: DataFrame, known: DataFrame) -> DataFrame:
+    """Entries of lists whose sets are not all in one group yet, with their group, the least and the greatest distance to the
+    pivot (``apart``, ``upto``) and the length of the list (``entries``)."""
+    entry = lists.select("token", "size", "place", "head", "node", F.col("pivot.node").alias("pivot_node"))
+    entry = entry.join(small(groups), "node", "left").withColumn("component", F.coalesce("component", "node"))
     whole = Window.partitionBy("token")
-    entry = (entry.withColumns({"_low": F.min("component").over(whole), "_high": F.max("component").over(whole)})
+    entry = (entry.withColumns({"_low": F.min("component").over(whole), "_high": F.max("component").over(whole),
+                                "entries": F.count("*").over(whole)})
              .where("_low != _high").drop("_low", "_high"))
-    entry = entry.join(pivots, ["p1", "p2"]).drop("p1", "p2")
-    told = known.select(F.col("x").alias("node"), F.col("y").alias("pivot_node"), "apart")
-    told = told.union(known.select("y", "x", "apart"))
-    apart = F.when(F.col("node") == F.col("pivot_node"), 0.0).otherwise(F.col("apart"))
-    return entry.join(told, ["node", "pivot_node"], "left").withColumn("apart", apart)
-
-
-def open_pairs(entries_: DataFrame, percent: int) -> DataFrame:
-    """(x, y) from different groups that share a list and may link, each list compared block by block.
-
-    Blocks are runs of a list in the order of size. A pair of blocks is skipped if their sizes are too far apart, if even
-    their earliest places leave too little to share, or if all their sets are in one group. Inside, a pair is skipped if
-    it is in one group, if sizes or places rule it out, if the distances to a common pivot differ by more than a link
-    allows, or if the counts of shingles by part of the hash range leave too little to share.
+    told = known.select(F.col("x").alias("node"), F.col("y").alias("pivot_node"), "apart", "upto")
+    told = small(told.union(known.select("y", "x", "apart", "upto")))
+    own = F.col("node") == F.col("pivot_node")
+    return entry.join(told, ["node", "pivot_node"], "left").withColumns({
+        "apart": F.when(own, 0.0).otherwise(F.coalesce("apart", F.lit(0.0))),
+        "upto": F.when(own, 0.0).otherwise(F.coalesce("upto", F.lit(1.0)))})
+
+
+def open_pairs(entries_: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(x, y) from different groups that share a list and may link.
+
+    A pair is skipped if it is in one group, if sizes or places rule it out, or if the distances to a common pivot differ by
+    more than a link allows. Lists of up to ``SHORT`` entries are compared at once. A longer one is compared block by block, and
+    its entries bring their counts of shingles by part of the hash range, so that a pair that these rule out is not written,
+    whatever the size of its group. Blocks are runs of a list in the order of size. A pair of blocks is skipped if their sizes
+    are too far apart, if even their earliest places leave too little to share, or if all their sets are in one group.
     """
+    apart = 1 - percent / 100 + 1e-9
+    near = (F.col("l.pivot_node") != F.col("r.pivot_node")) | (
+        (F.col("l.apart") - F.col("r.upto") <= apart) & (F.col("r.apart") - F.col("l.upto") <= apart))
+    fits = (F.col("l.component") != F.col("r.component")) & may_link("l", "r", percent) & near
+    found = F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y")
+    few, many = entries_.where(F.col("entries") <= SHORT), entries_.where(F.col("entries") > SHORT)
+    met = few.alias("l").join(few.alias("r"), (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & fits)
+    pairs = met.select(*found).distinct()
+
     spot = F.row_number().over(Window.partitionBy("token").orderBy("size", "node"))
-    cut = entries_.withColumn("block", F.floor((spot - 1) / BLOCK).cast("int"))
+    cut = many.withColumn("block", F.floor((spot - 1) / BLOCK).cast("int"))
     blocks = cut.groupBy("token", "block").agg(
         F.min("size").alias("least"), F.max("size").alias("most"), F.min("place").alias("early"),
         F.min("component").alias("low"), F.max("component").alias("high"))
@@ -227,18 +259,14 @@ def open_pairs(entries_: DataFrame, percent: int) -> DataFrame:
         F.least("a.low", "b.low") != F.greatest("a.high", "b.high"))
     met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.block") <= F.col("b.block")) & possible).select(
         F.col("a.token").alias("token"), F.col("a.block").alias("one"), F.col("b.block").alias("other"))
+    cut = cut.join(classes.select("node", "parts"), "node")
     left = cut.withColumnRenamed("block", "one").join(met, ["token", "one"]).alias("l")
     right = cut.withColumnRenamed("block", "other").join(met, ["token", "other"]).alias("r")
     key = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("token", "one", "other")]
     once = (F.col("l.one") < F.col("l.other")) | (F.col("l.node") < F.col("r.node"))
-    near = F.coalesce((F.col("l.pivot_node") != F.col("r.pivot_node"))
-                      | (F.abs(F.col("l.apart") - F.col("r.apart")) <= 1 - percent / 100 + 1e-9), F.lit(True))
-    most = F.aggregate(F.zip_with("l.parts", "r.parts", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)
-    enough = most * (100 + percent) >= (F.col("l.size") + F.col("r.size")) * percent
-    # a pair that the counts rule out is not written, whatever the size of its group
-    pairs = left.join(right, key[0] & key[1] & key[2] & once & (F.col("l.component") != F.col("r.component"))
-                      & may_link("l", "r", percent) & near & enough)
-    return pairs.select(F.least("l.node", "r.node").alias("x"), F.greatest("l.node", "r.node").alias("y")).distinct()
+    enough = most_shared("l.parts", "r.parts") * (100 + percent) >= (F.col("l.size") + F.col("r.size")) * percent
+    long_pairs = left.join(right, key[0] & key[1] & key[2] & once & fits & enough).select(*found)
+    return pairs.union(long_pairs).distinct()
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -259,36 +287,35 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = described.where("size IS NOT NULL").select("id", "size", "c1", "c2")
     repeated = rows.groupBy("id").count().where("count > 1").select(F.col("id").alias("_id"))
     repeated = small(materialize(repeated, "repeated").withColumn("_again", F.lit(True)))
-    classes = described.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("parts").alias("parts"))
+    classes = described.where("size > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("parts").alias("parts"))
     classes = classes.join(repeated, classes.id.eqNullSafe(F.col("_id")), "left").withColumn("again", F.coalesce("_again", F.lit(False)))
     classes = materialize(classes.drop("_id", "_again").withColumn("node", F.monotonically_increasing_id()), "classes")
     shared = materialize(shared_lists(entries(texts, words, percent, counters_of(described))), "lists")
-    lists = materialize(with_pivots(shared, percent), "lists")
+    lists = materialize(with_pivots(shared, classes, percent), "lists")
     discard(shared)
 
-    def numbered(pairs: DataFrame) -> DataFrame:
-        one = classes.select(F.col("node").alias("a"), "c1", "c2")
-        other = classes.select(F.col("node").alias("b"), F.col("c1").alias("p1"), F.col("c2").alias("p2"))
-        return pairs.join(one, ["c1", "c2"]).join(other, ["p1", "p2"]).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-
-    to_pivot = (lists.withColumn("own", F.struct("size", "place", "head"))
-                .where((F.col("c1") != F.col("pivot.c1")) & may_link("own", "pivot", percent))
-                .select("c1", "c2", F.col("pivot.c1").alias("p1"), F.col("pivot.c2").alias("p2")).distinct())
-    first = materialize(numbered(to_pivot), "pairs")
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+    def judge(pairs: DataFrame) -> DataFrame:
+        """(x, y, linked, apart, upto) of the pairs. Only sets of pairs that their counts by part leave open are read and moved."""
+        weighed = materialize(weigh(pairs, classes, percent), "weighed")
+        left_open = weighed.where("open").select("x", "y")
+        nodes = left_open.select(F.col("x").alias("node")).union(left_open.select("y")).distinct()
         wanted = classes.join(nodes, "node", "left_semi").select("node", "id", "again", "c1", "c2")
-        return materialize(fetch_sets(texts, materialize(wanted, "wanted"), words), "shingles")
+        sets = materialize(fetch_sets(texts, materialize(wanted, "wanted"), words), "shingles")
+        verified = materialize(verify(left_open, sets, percent), "verified")
+        discard(sets)
+        ruled_out = weighed.where("NOT open").select("x", "y", F.lit(False), "apart", F.lit(1.0))
+        return verified.select("x", "y", "linked", "apart", F.col("apart").alias("upto")).union(ruled_out)
 
-    sets = sets_of(first)
-    known = materialize(verify(first, sets, percent), "verified")
-    discard(sets)
+    to_pivot = (lists.withColumn("own", F.struct("size", "place", "head"))
+                .where((F.col("node") != F.col("pivot.node")) & may_link("own", "pivot", percent))
+                .select(F.least("node", "pivot.node").alias("x"), F.greatest("node", "pivot.node").alias("y")).distinct())
+    known = judge(materialize(to_pivot, "pairs"))
     groups = materialize(components(known.where("linked"), "x", "y"), "groups")
-    rest = materialize(mixed_lists(lists, classes, groups, known), "open")
-    second = open_pairs(rest, percent)
-    second = materialize(second.join(known, ["x", "y"], "left_anti"), "pairs")
-    late = materialize(verify(second, sets_of(second), percent), "verified")
+    rest = materialize(mixed_lists(lists, groups, known), "open")
+    discard(lists)
+    second = open_pairs(rest, classes, percent)
+    late = judge(materialize(second.join(known, ["x", "y"], "left_anti"), "pairs"))
+    discard(rest)
     links = known.where("linked").select("x", "y").union(late.where("linked").select("x", "y"))
     groups = components(links, "x", "y")
     member = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -104,6 +104,30 @@ def test_small_blocks_give_the_same_links(spark, monkeypatch):
     assert plain(jaccard.link_documents(docs, words=3, percent=90)) == want
 
 
+def test_lists_in_blocks_give_the_same_links_as_whole_ones(spark, monkeypatch):
+    docs = table(spark, near_rows(7), clashing=False)
+    want = plain(jaccard.link_documents(docs, words=3, percent=80))
+    monkeypatch.setattr(jaccard, "SHORT", 1)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    assert plain(jaccard.link_documents(docs, words=3, percent=80)) == want
+
+
+def test_sets_whose_counts_rule_out_a_link_are_not_read(spark, monkeypatch):
+    import random
+    rnd = random.Random(3)
+    some = [f"w{i}" for i in range(8)]
+    rows = [(i, " ".join(rnd.choices(some, k=60)), "en", "a", 1) for i in range(40)]
+    fetched, fetch, rows_ = [], jaccard.fetch_sets, table(spark, rows, clashing=False)
+
+    def count(docs, wanted, words):
+        fetched.append(wanted.count())
+        return fetch(docs, wanted, words)
+
+    monkeypatch.setattr(jaccard, "fetch_sets", count)
+    assert len({r[2] for r in plain(jaccard.link_documents(rows_, words=3, percent=90))}) == 40
+    assert sum(fetched) == 0
+
+
 def test_near_copies_go_and_other_columns_stay(spark):
     docs = table(spark, near_rows())
     got = jaccard.drop_near_copies(docs)
