@@ -17,8 +17,8 @@ COUNTERS = 1 << 18
 COUNTER_BLOCK = 1 << 12
 # Sets whose list entries a task remembers having written, so that copies are not written again.
 REMEMBERED = 1 << 20
-# Bytes of text whose shingles are held at once; the arrays over them take some 100 times as much.
-SLICE_BYTES = 1 << 20
+# Bytes of text whose shingles are held at once; the arrays over them take some 100 times as much, and a worker keeps what it once took.
+SLICE_BYTES = 1 << 18
 # Parts of the hash range by which a set's shingles are counted; two sets share at most the sum of the smaller counts.
 PARTS = 64
 # Entries of a list that are compared together.
