@@ -37,10 +37,10 @@ def find_places(df: DataFrame, id_col: str, text: str, names: DataFrame, name_co
 
     Text and names are compared as lists of words, so punctuation in either makes no difference; of
     names with the same words, the last in order stands for all. Reading left to right, the longest name
-    at a position wins and the search goes on behind it. Each token position becomes one row holding the
-    few tokens from there on. It meets the lengths of the names that open with its token, one row per
-    opening word, and then the names by equality, so that a word that opens many names does not
-    multiply its rows. The choice between overlapping names looks at the matches of a single article.
+    at a position wins and the search goes on behind it. Only tokens that are words of some name are kept, with
+    their positions; each becomes a row holding the few kept tokens that follow it without a gap. It meets the lengths of
+    the names that open with its token, one row per opening word, and then the names by equality, so that a word that
+    opens many names does not multiply its rows. The choice between overlapping names looks at the matches of a single article.
     """
     def in_words(c: Column) -> Column:
         return F.regexp_extract_all(F.lower(c), F.lit(f"([{tx.WORD}]+)"), 1)
@@ -49,25 +49,31 @@ def find_places(df: DataFrame, id_col: str, text: str, names: DataFrame, name_co
         names.select(F.lower(name_col).alias("location"), in_words(F.col(name_col)).alias("_tokens"))
         .filter(F.size("_tokens") > 0).groupBy("_tokens").agg(F.max("location").alias("location"))
         .select("location", F.get("_tokens", F.lit(0)).alias("_first"), F.size("_tokens").alias("_len"),
-                F.array_join("_tokens", " ").alias("_name")), "names")
+                F.array_join("_tokens", " ").alias("_name"), "_tokens"), "names")
     longest = entries.agg(F.max("_len")).first()[0] or 1
     openers = entries.groupBy("_first").agg(F.sort_array(F.collect_set("_len")).alias("_lens"))
+    parts = entries.select(F.explode("_tokens").alias("_word")).distinct()
 
-    spots = (df.select(id_col, in_words(F.col(text)).alias("_t"))
-             .select(id_col, F.explode(F.transform("_t", lambda w, i: F.struct(
-                 i.alias("pos"), w.alias("_first"), F.slice("_t", i + 1, longest).alias("ahead")))).alias("s"))
-             .select(id_col, "s.*"))
+    def runs(kept: Column) -> Column:
+        return F.transform(kept, lambda t, i: F.struct(t["pos"].alias("pos"), t["_word"].alias("_first"), F.transform(
+            F.filter(F.slice(kept, i + 1, longest), lambda x, k: x["pos"] == t["pos"] + k), lambda x: x["_word"]).alias("ahead")))
+
+    # positions are those of a text, of which an id may have several
+    kept = (df.select(id_col, F.xxhash64(text).alias("_text"), F.posexplode(in_words(F.col(text))).alias("pos", "_word"))
+            .join(small(parts), "_word").groupBy(id_col, "_text").agg(F.sort_array(F.collect_list(F.struct("pos", "_word"))).alias("_all"))
+            .select(id_col, F.filter("_all", lambda t, i: (i == 0) | (F.get("_all", i - 1)["pos"] != t["pos"])).alias("_kept")))
+    spots = kept.select(id_col, F.explode(runs(F.col("_kept"))).alias("s")).select(id_col, "s.*")
     tried = (spots.join(small(openers), "_first")
              .select(id_col, "pos", "ahead", F.explode("_lens").alias("_len")).filter(F.size("ahead") >= F.col("_len"))
              .select(id_col, "pos", F.array_join(F.slice("ahead", F.lit(1), F.col("_len")), " ").alias("_name")))
-    hits = (tried.join(small(entries.drop("_first")), "_name")
-            .groupBy(id_col, "pos").agg(F.max(F.struct("_len", "location")).alias("m"))
-            .select(id_col, F.struct(F.col("pos"), F.col("m._len").alias("len"), F.col("m.location")).alias("hit")))
+    hits = (tried.join(small(entries.drop("_first", "_tokens")), "_name")
+            .select(id_col, F.struct((-F.col("pos")).alias("back"), F.col("_len").alias("len"), "location").alias("hit")))
     free = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("found"))
-    walked = (hits.groupBy(id_col).agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    # in the order of position, the longest first
+    walked = (hits.groupBy(id_col).agg(F.sort_array(F.collect_list("hit"), asc=False).alias("hits"))
               .select(id_col, F.aggregate("hits", free, lambda acc, h: F.when(
-                  h["pos"] >= acc["next"],
-                  F.struct((h["pos"] + h["len"]).alias("next"),
+                  -h["back"] >= acc["next"],
+                  F.struct((h["len"] - h["back"]).alias("next"),
                            F.array_append(acc["found"], h["location"]).alias("found"))).otherwise(acc)).alias("w")))
     return walked.select(id_col, F.explode(F.array_distinct("w.found")).alias("location"))
 

@@ -38,13 +38,12 @@ def lexicon_scores(df: DataFrame, id_col: str, texts: Mapping[str, Column], lexi
     are added. No hit scores 0.0, a null text scores null. All texts share one pass; after the
     broadcast join one row of sums per article and task is shuffled, never the words.
     """
-    tagged = F.concat(*[
-        F.transform(F.coalesce(tx.words(F.lower(c)), F.array().cast("array<string>")),
-                    _tag(prefix)) for prefix, c in texts.items()])
+    tagged = F.array(*[F.struct(F.lit(prefix).alias("src"), tx.words(F.lower(c)).alias("words")) for prefix, c in texts.items()])
     entries = (lexicon.dropna(subset=["word"]).groupBy("word")
                .agg(F.avg("polarity").alias("polarity"), F.avg("subjectivity").alias("subjectivity")))
-    hits = (df.select(id_col, F.explode(tagged).alias("t"))
-            .select(id_col, F.col("t.src").alias("src"), F.col("t.word").alias("word"))
+    # a row per text first, so that a word's row holds the word itself and no struct is made for it
+    hits = (df.select(id_col, F.explode(tagged).alias("t")).select(id_col, "t.src", "t.words")
+            .select(id_col, "src", F.explode("words").alias("word"))
             .join(small(entries), "word"))
     sums = hits.groupBy(id_col).agg(*[
         F.avg(F.when(F.col("src") == prefix, F.col(m))).alias(f"_{prefix}_{m}")
@@ -57,10 +56,6 @@ def lexicon_scores(df: DataFrame, id_col: str, texts: Mapping[str, Column], lexi
     return out.drop(*[f"_{prefix}_{m}" for prefix in texts for m in ("polarity", "subjectivity")])
 
 
-def _tag(prefix: str):
-    return lambda w: F.struct(F.lit(prefix).alias("src"), w.alias("word"))
-
-
 def themes(df: DataFrame, text: str, nouns: DataFrame, year: str | None = "year") -> DataFrame:
     """Counted noun lemmas (theme, count), per year if there is one, most frequent first.
 

@@ -20,6 +20,8 @@ from ..sources.stages import Buckets, resolve_flags, stage
 
 WORKING_COLUMNS = ["Column1", "subject2", "count", "date_str", "media_type_title", "media_type_article", "date"]
 FINAL_DROPS = ["nlp_textloc", "source", "location", "nlp_location"]
+#: the clean words of ``cleaned_text``, separated by single spaces
+WORDS = "_words"
 FILE_ORDER = {"true": 0, "fake": 1, "test_data": 2}
 
 
@@ -75,7 +77,8 @@ def classify_and_combine(spark: SparkSession, true: DataFrame, fake: DataFrame,
 
 def prepare(df: DataFrame) -> DataFrame:
     """Article ids in load order, dateline split into places and agency, lengths."""
-    df = ordering.dense_ids(df, ["file_no", "row_id"], "article_id").drop("file_no", "row_id")
+    # dealing out ranges reads its rows twice, the first time for their limits
+    df = ordering.dense_ids(materialize(df, "classified"), ["file_no", "row_id"], "article_id").drop("file_no", "row_id")
     source, rest = tx.dateline(F.col("article_text"))
     df = df.withColumns({"source": source, "cleaned_text": rest})
     df = rows.fill_defaults(df, {"source": "UNKNOWN (Unknown)"}, empty_too=["source"])
@@ -89,20 +92,28 @@ def prepare(df: DataFrame) -> DataFrame:
     })
 
 
+def with_words(df: DataFrame, settings: Settings) -> DataFrame:
+    """Add the words of the text that ``process_nlp`` reads twice, to be saved with it."""
+    return df.withColumn(WORDS, F.array_join(tx.clean_tokens(F.col("cleaned_text"), settings.stopwords), " "))
+
+
 def process_nlp(df: DataFrame, lemmas: DataFrame, settings: Settings) -> DataFrame:
     """Cleaned text, title and places, and text and places together; words are mapped through the (form, lemma) table."""
     def tokens(c):
         return tx.clean_tokens(c, settings.stopwords)
 
-    def clean(c):
-        return F.coalesce(F.array_join(tx.replace_words(tokens(c), F.col("_lemmas")), " "), F.lit(""))
+    def mapped(words):
+        return F.coalesce(F.array_join(tx.replace_words(words, F.col("_lemmas")), " "), F.lit(""))
 
+    if WORDS not in df.columns:
+        df = with_words(df, settings)
+    text = F.array_remove(F.split(WORDS, " "), "")
     none = F.array().cast("array<string>")
     every = F.concat(*[F.coalesce(a, none) for a in (
-        tokens(F.col("cleaned_text")), tokens(F.col("title")), tokens(F.array_join("location", " ")))])
+        text, tokens(F.col("title")), tokens(F.array_join("location", " ")))])
     df = textjobs.with_lemmas(df, "article_id", every, lemmas)
-    df = df.withColumns({"nlp_text": clean(F.col("cleaned_text")), "nlp_title": clean(F.col("title")),
-                         "nlp_location": ls.map_items(F.col("location"), clean)}).drop("_lemmas")
+    df = df.withColumns({"nlp_text": mapped(text), "nlp_title": mapped(tokens(F.col("title"))),
+                         "nlp_location": ls.map_items(F.col("location"), lambda c: mapped(tokens(c)))}).drop("_lemmas", WORDS)
     return df.withColumn("nlp_textloc", tx.join_list(F.col("nlp_text"), F.col("nlp_location")))
 
 
@@ -179,8 +190,8 @@ def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: S
     def saved_stage(name, flag, build):
         return stage(spark, f"{folder}/{name}", build, bool(use.get(flag)), buckets)
 
-    combined = saved_stage("combined", "useprecombineddata", lambda: prepare(classify_and_combine(
-        spark, inputs.true, inputs.fake, inputs.test, settings)).repartition(buckets.number, buckets.key))
+    combined = saved_stage("combined", "useprecombineddata", lambda: with_words(prepare(classify_and_combine(
+        spark, inputs.true, inputs.fake, inputs.test, settings)), settings).repartition(buckets.number, buckets.key))
     nlp = saved_stage("nlp", "usepostnlpdata", lambda: process_nlp(combined, inputs.lemmas, settings))
     scored = saved_stage("scored", "useprelocationdata", lambda: apply_sentiment(nlp, inputs.lexicon))
     located = saved_stage("located", "useprelocationenricheddata", lambda: locate(
