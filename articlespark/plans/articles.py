@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as dt
@@ -15,8 +15,8 @@ from ..functions import text as tx
 from ..operators import calendar, locations, ordering, rows, textjobs
 from ..operators.aggregates import count_by
 from ..operators.joins import member_flag
-from ..runtime import materialize, shuffle_width
-from ..sources.stages import Buckets, resolve_flags, stage
+from ..runtime import CODEC, Scratch, discard, materialize, release, shuffle_width
+from ..sources.stages import Buckets, resolve_flags, stage, stage_over
 
 WORKING_COLUMNS = ["Column1", "subject2", "count", "date_str", "media_type_title", "media_type_article", "date"]
 FINAL_DROPS = ["nlp_textloc", "source", "location", "nlp_location"]
@@ -75,10 +75,24 @@ def classify_and_combine(spark: SparkSession, true: DataFrame, fake: DataFrame,
     return rows.drop_columns(df, WORKING_COLUMNS)
 
 
+def number(df: DataFrame) -> DataFrame:
+    """Article ids in load order."""
+    # dealing out ranges reads its rows twice, the first time for their limits
+    classified = materialize(df, "classified", CODEC)
+    release(df.sparkSession)
+    df = ordering.dense_ids(classified, ["file_no", "row_id"], "article_id", CODEC).drop("file_no", "row_id")
+    discard(classified)
+    release(df.sparkSession)
+    return df
+
+
 def prepare(df: DataFrame) -> DataFrame:
     """Article ids in load order, dateline split into places and agency, lengths."""
-    # dealing out ranges reads its rows twice, the first time for their limits
-    df = ordering.dense_ids(materialize(df, "classified"), ["file_no", "row_id"], "article_id").drop("file_no", "row_id")
+    return describe(number(df))
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """Dateline split into places and agency, lengths."""
     source, rest = tx.dateline(F.col("article_text"))
     df = df.withColumns({"source": source, "cleaned_text": rest})
     df = rows.fill_defaults(df, {"source": "UNKNOWN (Unknown)"}, empty_too=["source"])
@@ -114,7 +128,11 @@ def process_nlp(df: DataFrame, lemmas: DataFrame, settings: Settings) -> DataFra
     df = textjobs.with_lemmas(df, "article_id", every, lemmas)
     df = df.withColumns({"nlp_text": mapped(text), "nlp_title": mapped(tokens(F.col("title"))),
                          "nlp_location": ls.map_items(F.col("location"), lambda c: mapped(tokens(c)))}).drop("_lemmas", WORDS)
-    return df.withColumn("nlp_textloc", tx.join_list(F.col("nlp_text"), F.col("nlp_location")))
+    return df.withColumn("nlp_textloc", text_and_places())
+
+
+def text_and_places() -> Column:
+    return tx.join_list(F.col("nlp_text"), F.col("nlp_location"))
 
 
 def apply_sentiment(df: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -183,18 +201,25 @@ def build_articles(spark: SparkSession, inputs: Inputs, folder: str, settings: S
     stages are used again. Returns the final articles and the place tables.
 
     Stages lie in buckets of ``article_id``. The texts are dealt to them once, by the first; later stages, the mentions and joins
-    between them move only what is new, such as lemmas, scores and places."""
+    between them move only what is new, such as lemmas, scores and places, and save only that. What the first stage was made from is deleted
+    once it is saved."""
     use = resolve_flags(flags or {})
     buckets = Buckets("article_id", settings.buckets or shuffle_width(spark))
 
-    def saved_stage(name, flag, build):
-        return stage(spark, f"{folder}/{name}", build, bool(use.get(flag)), buckets)
-
-    combined = saved_stage("combined", "useprecombineddata", lambda: with_words(prepare(classify_and_combine(
-        spark, inputs.true, inputs.fake, inputs.test, settings)), settings).repartition(buckets.number, buckets.key))
-    nlp = saved_stage("nlp", "usepostnlpdata", lambda: process_nlp(combined, inputs.lemmas, settings))
-    scored = saved_stage("scored", "useprelocationdata", lambda: apply_sentiment(nlp, inputs.lexicon))
-    located = saved_stage("located", "useprelocationenricheddata", lambda: locate(
+    def saved_stage(name, flag, base, build, **options):
+        return stage_over(spark, f"{folder}/{name}", base, build, buckets, bool(use.get(flag)), **options)
+
+    with Scratch() as scratch:
+        # one text is dealt out, those made of it follow in its bucket
+        combined = stage(spark, f"{folder}/combined", lambda: with_words(describe(number(classify_and_combine(
+            spark, inputs.true, inputs.fake, inputs.test, settings)).repartition(buckets.number, buckets.key)), settings),
+            bool(use.get("useprecombineddata")), buckets)
+    scratch.free(spark)
+    release(spark)
+    nlp = saved_stage("nlp", "usepostnlpdata", combined, lambda: process_nlp(combined, inputs.lemmas, settings),
+                      derived={"nlp_textloc": text_and_places()}, dropped=[WORDS])
+    scored = saved_stage("scored", "useprelocationdata", nlp, lambda: apply_sentiment(nlp, inputs.lexicon))
+    located = saved_stage("located", "useprelocationenricheddata", scored, lambda: locate(
         scored, inputs.cities, inputs.states, inputs.regions))
     tables = place_tables(located, inputs.cities, inputs.states, inputs.regions, inputs.answers)
     mentions = stage(spark, f"{folder}/article_locations", lambda: tables.mentions, buckets=buckets)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..runtime import CODEC
+
 # The reuse flags from the first stage to the last.
 STAGE_FLAGS = ["useprecombineddata", "usepostnlpdata", "useprelocationdata", "useprelocationenricheddata"]
 
@@ -43,17 +45,37 @@ def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], reuse:
           buckets: Buckets | None = None) -> DataFrame:
     """The saved table if it may be reused and exists; else build it, save it and read it back,
     which also ends its lineage. Its files lie in ``buckets`` if they are given."""
+    return _stage(spark, path, build, reuse, buckets)
+
+
+def stage_over(spark: SparkSession, path: str, base: DataFrame, build: Callable[[], DataFrame], buckets: Buckets, reuse: bool = False,
+               derived: Mapping[str, Column] | None = None, dropped: Sequence[str] = ()) -> DataFrame:
+    """A stage that adds columns to the rows of ``base``, an earlier stage in the same buckets whose keys are unique and not null: only the
+    key and what is new are saved, and the rest is read from ``base``. ``derived`` columns are made of the others as they are read,
+    ``dropped`` ones of ``base`` are left out."""
+    derived = derived or {}
+
+    def added() -> DataFrame:
+        built = build()
+        return built.select(buckets.key, *[c for c in built.columns if c not in derived and c not in base.columns])
+
+    own = _stage(spark, path, added, reuse, buckets)
+    new = own.select(buckets.key, *[c for c in own.columns if c not in derived and c not in base.columns])
+    return base.drop(*dropped).join(new, buckets.key).withColumns(dict(derived))
+
+
+def _stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], reuse: bool, buckets: Buckets | None) -> DataFrame:
     if reuse:
         found = saved(spark, path, buckets)
         if found is not None:
             return found
     built, folder = build(), _folder(path, buckets)
     if buckets is None:
-        built.write.mode("overwrite").parquet(folder)
+        built.write.mode("overwrite").parquet(folder, compression=CODEC)
         return spark.read.schema(built.schema).parquet(folder)
     table = _name(folder)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    built.write.mode("overwrite").bucketBy(buckets.number, buckets.key).option("path", folder).format("parquet").saveAsTable(table)
+    built.write.mode("overwrite").bucketBy(buckets.number, buckets.key).option("path", folder).option("compression", CODEC).format("parquet").saveAsTable(table)
     return spark.table(table)
 
 

@@ -1,11 +1,13 @@
 """Physical plans and whole jobs."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from articlespark import runtime
 from articlespark.operators import aggregates, joins, sampling
 from articlespark.plans import articles as job
 from articlespark.plans import tabular, textmodel
@@ -148,3 +150,18 @@ def test_map_levels_keep_real_nulls_apart_from_levels(spark):
         ("state", 1, "x", "c", 0, 1), ("state", 1, "y", "c", 1, 0), ("country", 1, None, "c", 1, 2)}
     with pytest.raises(ValueError):
         aggregates.map_counts_levels(df, {"a": ["year"], "b": ["year"]})
+
+
+def test_stages_save_a_column_once_and_leave_nothing_behind(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(whole, "shared_path", lambda session, label: str(tmp_path / label))
+    made, shared = [], runtime.shared_path
+    monkeypatch.setattr(runtime, "shared_path", lambda session, label: made.append(shared(session, label)) or made[-1])
+    final, _ = whole.build(spark, sf_dir)
+    folder = tmp_path / "articles"
+    columns = {s: set(spark.read.parquet(str(next((folder / s).glob("article_id-*")))).columns) for s in ("combined", "nlp", "scored", "located")}
+    assert {"article_text", "cleaned_text", "title"} < columns["combined"]
+    assert columns["nlp"] == {"article_id", "nlp_text", "nlp_title", "nlp_location"}
+    assert columns["located"] == {"article_id", "locationsfromarticle"} and not columns["scored"] & (columns["combined"] | columns["nlp"]) - {"article_id"}
+    assert set(final.columns) >= {"article_text", "cleaned_text", "nlp_text", "overall_polarity", "locationsfromarticle"}
+    texts = [p.removeprefix("file://") for p in made if "/classified-" in p or "/ids-" in p]
+    assert len(texts) == 2 and not any(map(os.path.exists, texts))
